@@ -1,0 +1,4 @@
+"""No streaming operators: every job of this library is a batch job.
+
+The data model has no event time, watermark or state, so nothing belongs here.
+"""
