@@ -11,11 +11,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinia.functions.tokens import feature_tokens
-from affinia.operators.skew import join_counted
+from affinia.operators.skew import count_total, join_counted
 from affinia.sources.workspace import staged
 
 FEATURE_COLUMNS = ("title", "genres", "rating", "persons")
@@ -25,21 +25,17 @@ FEATURE_COLUMNS = ("title", "genres", "rating", "persons")
 class Vectors:
     """Unit vectors in the work area.
 
-    frame      vector_id, copies, entries array<struct<df, token, weight, head, tail, rows>>
-               Entries run from the rarest token to the most frequent. ``head`` is
-               the length of the vector from this entry on, ``tail`` the length
-               after it, ``rows`` the number of vectors that hold the token.
-    members    item_id, vector_id, copies; None where no two items are copies
-    items      number of items
-    rows_max   rows of the most frequent token
-    meetings   pairs of vectors that meet in a token, summed over the tokens
+    frame       vector_id, copies, entries array<struct<rows, token_id, weight>>, from the
+                rarest token to the most frequent; ``rows`` is how many vectors hold it
+    vocabulary  token_id, rows and more
+    members     item_id, vector_id, copies; None where no two items are copies
+    items       number of items
     """
 
     frame: DataFrame
+    vocabulary: DataFrame
     members: DataFrame | None
     items: int
-    rows_max: int
-    meetings: float
 
 
 def item_tokens(
@@ -102,49 +98,40 @@ def inverse_document_frequency(vocabulary: DataFrame, items: int) -> DataFrame:
     return vocabulary.withColumn("idf", F.ln(ratio))
 
 
-def unit_entries(weighted: DataFrame) -> DataFrame:
-    """Vectors of length 1 from (vector_id, copies, token, df, rows, w).
+def numbered(vocabulary: DataFrame) -> DataFrame:
+    """The vocabulary in the work area, with a number per token.
+
+    Numbers are given while the table is written, so all later reads agree on
+    them. Joins and shuffles then carry eight bytes instead of a whole text.
+    """
+    return staged(vocabulary.withColumn("token_id", F.monotonically_increasing_id()), "vocabulary")
+
+
+def unit_vectors(weighted: DataFrame) -> DataFrame:
+    """Vectors of length 1 from (vector_id, copies, token_id, rows, w): see Vectors.frame.
 
-    Running sums from the most frequent token down give the partial lengths and
-    the full length in one sort per vector, and add in the same order every run.
     Zero weights go; a vector with nothing else has no row, and scores 0 with all.
     """
-    down = Window.partitionBy("vector_id").orderBy(F.desc("df"), F.desc("token"))
-    square = F.col("w") * F.col("w")
-    sums = weighted.where("w > 0").select(
-        "*",
-        F.sum(square).over(down.rowsBetween(Window.unboundedPreceding, 0)).alias("from_here"),
-        F.coalesce(
-            F.sum(square).over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
-        ).alias("after"),
-        F.sum(square)
-        .over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        .alias("whole"),
-    )
-    entry = F.struct(
-        "df",
-        "token",
-        (F.col("w") / F.sqrt("whole")).alias("weight"),
-        F.sqrt(F.col("from_here") / F.col("whole")).alias("head"),
-        F.sqrt(F.col("after") / F.col("whole")).alias("tail"),
-        "rows",
+    raw = (
+        weighted.where("w > 0")
+        .groupBy("vector_id", "copies")
+        .agg(F.sort_array(F.collect_list(F.struct("rows", "token_id", "w"))).alias("raw"))
     )
-    return sums.groupBy("vector_id", "copies").agg(
-        F.sort_array(F.collect_list(entry)).alias("entries")
+    square = F.aggregate("raw", F.lit(0.0), lambda total, entry: total + entry["w"] * entry["w"])
+    return raw.withColumn("length", F.sqrt(square)).select(
+        "vector_id",
+        "copies",
+        F.transform(
+            "raw",
+            lambda entry: F.struct(
+                entry["rows"].alias("rows"),
+                entry["token_id"].alias("token_id"),
+                (entry["w"] / F.col("length")).alias("weight"),
+            ),
+        ).alias("entries"),
     )
 
 
-def _vocabulary_totals(vocabulary: DataFrame) -> tuple[int, int, float]:
-    row = vocabulary.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
-        F.coalesce(F.max("rows"), F.lit(0)).alias("largest"),
-        F.coalesce(
-            F.sum(F.col("rows") * (F.col("rows") - F.lit(1.0)) / F.lit(2.0)), F.lit(0.0)
-        ).alias("meetings"),
-    ).first()
-    return row["total"], row["largest"], row["meetings"]
-
-
 def build_vectors(
     items: DataFrame,
     columns: Sequence[str] = FEATURE_COLUMNS,
@@ -161,28 +148,27 @@ def build_vectors(
     size = folded.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("items"), F.count("*").alias("vectors")
     ).first()
-    vocabulary = staged(
-        inverse_document_frequency(document_frequency(folded), size["items"]), "vocabulary"
+    vocabulary = numbered(
+        inverse_document_frequency(document_frequency(folded), size["items"])
     )
-    total, largest, meetings = _vocabulary_totals(vocabulary)
-    weighted = join_counted(term_frequency(folded), vocabulary, "token", "rows", total).select(
-        "vector_id",
-        "copies",
-        "token",
-        "df",
-        "rows",
-        (F.col("tf") * F.col("idf")).alias("w"),
+    weighted = join_counted(
+        term_frequency(folded), vocabulary, "token", "rows", count_total(vocabulary, "rows")
+    ).select(
+        "vector_id", "copies", "token_id", "rows", (F.col("tf") * F.col("idf")).alias("w")
     )
     members = None
     if size["items"] > size["vectors"]:
         members = staged(copy_members(tokens, folded, size["items"]), "members")
-    return Vectors(
-        frame=staged(unit_entries(weighted), "vectors"),
-        members=members,
-        items=size["items"],
-        rows_max=largest,
-        meetings=meetings,
-    )
+    return Vectors(staged(unit_vectors(weighted), "vectors"), vocabulary, members, size["items"])
+
+
+def item_weights(vectors: Vectors) -> DataFrame:
+    """(item_id, token_id, weight) of every item."""
+    weights = vectors.frame.select("vector_id", F.inline("entries")).drop("rows")
+    if vectors.members is None:
+        return weights.withColumnRenamed("vector_id", "item_id")
+    members = vectors.members.select("item_id", "vector_id")
+    return members.join(weights, "vector_id").drop("vector_id")
 
 
 def hashed_norms(
@@ -205,24 +191,22 @@ def hashed_norms(
 
 def vectors_from_norms(norms: DataFrame) -> Vectors:
     """The sparse ML vectors of ``hashed_norms`` in the form the pair join reads."""
-    sparse = F.unwrap_udt("norm")
-    pairs = norms.select("item_id", sparse.alias("v")).select(
-        F.col("item_id").alias("vector_id"),
-        F.inline(F.arrays_zip(F.col("v.indices").alias("token"), F.col("v.values").alias("w"))),
-    )
+    sparse = norms.select("item_id", F.unwrap_udt("norm").alias("v"))
     weights = staged(
-        pairs.toDF("vector_id", "token", "w").withColumn("copies", F.lit(1).cast("long")), "hashed"
-    )
-    vocabulary = staged(
-        weights.groupBy("token").agg(F.count("*").alias("df"), F.count("*").alias("rows")),
-        "vocabulary",
-    )
-    total, largest, meetings = _vocabulary_totals(vocabulary)
-    weighted = join_counted(weights, vocabulary, "token", "rows", total)
-    return Vectors(
-        frame=staged(unit_entries(weighted), "vectors"),
-        members=None,
-        items=norms.count(),
-        rows_max=largest,
-        meetings=meetings,
-    )
+        sparse.select(
+            F.col("item_id").alias("vector_id"),
+            F.lit(1).cast("bigint").alias("copies"),
+            F.inline(
+                F.arrays_zip(
+                    F.col("v.indices").cast("array<bigint>").alias("token_id"),
+                    F.col("v.values").alias("w"),
+                )
+            ).alias("token_id", "w"),
+        ),
+        "hashed",
+    )
+    vocabulary = staged(weights.groupBy("token_id").agg(F.count("*").alias("rows")), "buckets")
+    weighted = join_counted(
+        weights, vocabulary, "token_id", "rows", count_total(vocabulary, "rows")
+    )
+    return Vectors(staged(unit_vectors(weighted), "vectors"), vocabulary, None, norms.count())

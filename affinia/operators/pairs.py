@@ -1,13 +1,22 @@
 """Pairs of similar items, exact, without comparing every pair.
 
-Method: an inverted-index join with prefix filtering (Chaudhuri, Ganti and
-Kaushik 2006; Bayardo, Ma and Srikant 2007). Tokens run from the rarest to the
-most frequent. From a shared token on, two vectors can contribute at most the
-product of their remaining lengths, so a pair meets in a token only where that
-product reaches the threshold. A very frequent token weighs little and comes
-last, so most vectors that hold it never meet there. What is skipped is bounded,
-and every pair the bound leaves open is scored again from the whole vectors:
-nothing at or above the threshold is lost.
+Method: an inverted-index join with a prefix filter on frequent tokens
+(Chaudhuri, Ganti and Kaushik 2006; Bayardo, Ma and Srikant 2007).
+
+Usual tokens, held by a bounded number of vectors, are joined, and the products
+of their weights summed per pair. Frequent tokens are not joined like that,
+however large a share of the vectors holds them:
+
+* For pairs that share a usual token, the frequent rest can add at most the
+  product of the two rests' lengths. Pairs that fall short are dropped; the rest
+  of the others is added exactly, from the two short remainders.
+* Pairs that share frequent tokens only must get their whole score from them.
+  Tokens run from rare to frequent, and from a shared token on two vectors
+  contribute at most the product of their remaining lengths, so a pair meets in
+  a token only where that product reaches the threshold. Frequent tokens weigh
+  little, so most vectors that hold one never take part.
+
+Nothing at or above the threshold is lost.
 """
 
 from __future__ import annotations
@@ -21,17 +30,19 @@ from pyspark.sql import functions as F
 from affinia.functions.vectors import sparse_dot
 from affinia.operators.features import FEATURE_COLUMNS, Vectors, build_vectors
 from affinia.operators.layout import order_edges
-from affinia.operators.skew import join_counted
+from affinia.operators.skew import count_total, join_counted
 from affinia.sources.sinks import path_exists, write_new
 from affinia.sources.workspace import staged
 
-# Rounding allowance of every bound: far above double precision error, far
-# below any difference that matters.
-SLACK = 1e-9
-# Tokens held by more vectors than this are split over several tasks.
-SPLIT_ROWS = 4096
-# Length bands of a split token.
+# Decimals kept of a score. Float sums depend on the order of adding in the last
+# digits; rounding makes equal scores equal, so ties break the same on every run.
+DIGITS = 9
+# Tokens held by more vectors than this are frequent.
+FREQUENT_ROWS = 4096
+# Remaining-length bands of a frequent token.
 BANDS = 8
+# An index of usual tokens with no more rows than this is broadcast (24 bytes a row).
+BROADCAST_ROWS = 1_000_000
 # Meetings per task of the index join, and the most tasks asked for.
 MEETINGS_PER_TASK = 1_000_000
 MOST_TASKS = 20_000
@@ -43,8 +54,8 @@ COPIES_PER_SLOT = 10_000
 class SimilarityIndex:
     """Similar pairs between vectors, and the items behind the vectors.
 
-    links    vector_id, other_vector, similarity, copies, other_copies, with
-             vector_id < other_vector, or equal for a vector with copies
+    links    vector_id, other_vector, similarity, with vector_id < other_vector, or
+             equal for a vector with copies
     members  item_id, vector_id, copies; None where no two items are copies
     """
 
@@ -65,66 +76,114 @@ class SimilarityIndex:
         return _write_out_copies(self.links, self.members)
 
 
-def _partitions(vectors: Vectors) -> int:
-    """Tasks for the index join, from the counted meetings rather than input bytes."""
-    floor = int(vectors.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, min(MOST_TASKS, ceil(vectors.meetings / MEETINGS_PER_TASK)))
-
+def _slack(digits: int) -> float:
+    """Rounding allowance of the bounds: one unit of the last decimal kept."""
+    return 10.0**-digits
 
-def _postings(vectors: Vectors, threshold: float) -> DataFrame:
-    """(vector_id, token, weight, head, tail, rows) that can still reach the threshold."""
-    return vectors.frame.select("vector_id", F.inline("entries")).where(
-        F.col("head") >= F.lit(threshold - SLACK)
-    )
 
+def _usual_parts(
+    vectors: Vectors, frequent_rows: int, rest: DataFrame | None
+) -> DataFrame:
+    """(vector_id, other_vector, part[, missing]) of every pair that shares a usual token.
 
-def _meet(left: DataFrame, right: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    """Partial scores of the vectors that meet, with a bound on what is missing."""
-    condition = (
-        (F.col("l.vector_id") < F.col("r.vector_id"))
-        & (F.col("l.head") * F.col("r.head") >= F.lit(threshold - SLACK))
+    ``part`` is the exact sum over usual tokens, ``missing`` the most the rest can add.
+    """
+    usual = vectors.vocabulary.where(F.col("rows") <= F.lit(frequent_rows)).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(
+            F.sum(F.col("rows") * (F.col("rows") - F.lit(1.0)) / F.lit(2.0)), F.lit(0.0)
+        ).alias("meetings"),
+    ).first()
+    # Tasks follow the counted meetings: input bytes say nothing about a join that
+    # turns each row into thousands.
+    floor = int(vectors.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(floor, min(MOST_TASKS, ceil(usual["meetings"] / MEETINGS_PER_TASK)))
+    postings = vectors.frame.select("vector_id", F.inline("entries")).where(
+        F.col("rows") <= F.lit(frequent_rows)
+    ).drop("rows")
+    if rest is not None:
+        lengths = rest.select("vector_id", "length")
+        postings = postings.join(lengths, "vector_id", "left").withColumn(
+            "length", F.coalesce("length", F.lit(0.0))
+        )
+    if usual["rows"] <= BROADCAST_ROWS:
+        # All products of one vector arise in one task, so their sum needs no shuffle.
+        left, right = postings.repartition(tasks, "vector_id"), F.broadcast(postings)
+    else:
+        left, right = postings.repartition(tasks, "token_id"), postings
+    met = left.alias("l").join(
+        right.alias("r"),
+        (F.col("l.token_id") == F.col("r.token_id"))
+        & (F.col("l.vector_id") < F.col("r.vector_id")),
     )
-    for key in keys:
-        condition = condition & (F.col(f"l.{key}") == F.col(f"r.{key}"))
-    return left.alias("l").join(right.alias("r"), condition).select(
+    columns = [
         F.col("l.vector_id").alias("vector_id"),
         F.col("r.vector_id").alias("other_vector"),
         (F.col("l.weight") * F.col("r.weight")).alias("part"),
-        (F.col("l.tail") * F.col("r.tail")).alias("missing"),
+    ]
+    sums = [F.sum("part").alias("part")]
+    if rest is not None:
+        columns.append((F.col("l.length") * F.col("r.length")).alias("missing"))
+        sums.append(F.max("missing").alias("missing"))
+    return met.select(*columns).groupBy("vector_id", "other_vector").agg(*sums)
+
+
+def _rests(vectors: Vectors, frequent_rows: int) -> DataFrame:
+    """(vector_id, tokens, weights, length) of the frequent tokens of each vector that has any."""
+    frequent = F.filter("entries", lambda entry: entry["rows"] > F.lit(frequent_rows))
+    kept = vectors.frame.select("vector_id", frequent.alias("kept")).where(F.size("kept") > 0)
+    square = F.aggregate(
+        "kept", F.lit(0.0), lambda total, entry: total + entry["weight"] * entry["weight"]
+    )
+    return kept.select(
+        "vector_id",
+        F.col("kept.token_id").alias("tokens"),
+        F.col("kept.weight").alias("weights"),
+        F.sqrt(square).alias("length"),
+    )
+
+
+def _frequent_postings(vectors: Vectors, frequent_rows: int, floor: float) -> DataFrame:
+    """(vector_id, token_id, head): ``head`` is the vector's length from this token on."""
+    down = Window.partitionBy("vector_id").orderBy(F.desc("rows"), F.desc("token_id"))
+    head = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(down))
+    return (
+        vectors.frame.select("vector_id", F.inline("entries"))
+        .where(F.col("rows") > F.lit(frequent_rows))
+        .select("vector_id", "token_id", head.alias("head"))
+        .where(F.col("head") >= F.lit(floor))
     )
 
 
-def _split_postings(
-    hot: DataFrame, threshold: float, split_rows: int
+def _frequent_cells(
+    postings: DataFrame, floor: float, slot_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Left and right sides of the join for frequent tokens, cut into small cells.
+    """Left and right sides of the join on frequent tokens, cut into small cells.
 
     A posting's band says how its remaining length compares with the threshold.
     Two bands whose product must fall short share no cell. A band with many
     postings is cut into slots, and each pair of slots is one cell, so a token
     held by a third of all vectors is joined by many tasks.
     """
-    bands = BANDS if threshold < 0.99 else 0
+    bands = BANDS if floor < 0.99 else 0
     if bands:
-        depth = F.ln(F.least(F.col("head"), F.lit(1.0))) / F.lit(log(threshold))
+        depth = F.ln(F.least(F.col("head"), F.lit(1.0))) / F.lit(log(floor))
         band = F.least(F.greatest(F.floor(depth * bands), F.lit(0)), F.lit(bands)).cast("int")
     else:
         band = F.lit(0)
-    banded = hot.withColumn("band", band)
+    banded = staged(postings.withColumn("band", band), "frequent")
     per_band = [
-        F.ceil(F.sum(F.when(F.col("band") == b, 1).otherwise(0)) / F.lit(split_rows)).cast("int")
+        F.ceil(F.sum(F.when(F.col("band") == b, 1).otherwise(0)) / F.lit(slot_rows)).cast("int")
         for b in range(bands + 1)
     ]
     plan = staged(
-        banded.groupBy("token").agg(
+        banded.groupBy("token_id").agg(
             F.array(*per_band).alias("slots"), F.count("*").alias("held")
         ),
         "cells",
     )
-    total = plan.agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]
-    placed = join_counted(banded, plan, "token", "held", total).withColumn(
-        "slot",
-        F.pmod(F.xxhash64("vector_id"), F.element_at("slots", F.col("band") + 1)).cast("int"),
+    placed = join_counted(banded, plan, "token_id", "held", count_total(plan, "held")).withColumn(
+        "slot", F.pmod(F.xxhash64("vector_id"), F.get("slots", F.col("band"))).cast("int")
     )
     partner_bands = F.filter(
         F.sequence(F.lit(0), F.lit(bands) - F.col("band")),
@@ -139,68 +198,48 @@ def _split_postings(
             ),
         )
     )
-    spread = placed.select(
-        "vector_id", "token", "weight", "head", "tail", "band", "slot",
-        F.explode(partners).alias("partner"),
-    )
-    kept = ("vector_id", "token", "weight", "head", "tail")
+    kept = ("vector_id", "token_id", "head")
+    spread = placed.select(*kept, "band", "slot", F.explode(partners).alias("partner"))
     own = F.struct("band", "slot")
     left = spread.select(*kept, own.alias("left_cell"), F.col("partner").alias("right_cell"))
     right = spread.select(*kept, F.col("partner").alias("left_cell"), own.alias("right_cell"))
     return left, right
 
 
-def _open_pairs(vectors: Vectors, threshold: float, split_rows: int) -> DataFrame:
-    """(vector_id, other_vector) whose score may reach the threshold."""
-    postings = _postings(vectors, threshold)
-    tasks = _partitions(vectors)
-    usual = postings.where(F.col("rows") <= split_rows).drop("df", "rows")
-    met = _meet(
-        usual.repartition(tasks, "token"), usual, ["token"], threshold
+def _frequent_pairs(vectors: Vectors, frequent_rows: int, floor: float) -> DataFrame:
+    """(vector_id, other_vector) that frequent tokens alone may bring to the threshold."""
+    left, right = _frequent_cells(
+        _frequent_postings(vectors, frequent_rows, floor), floor, frequent_rows
     )
-    if vectors.rows_max > split_rows:
-        hot = postings.where(F.col("rows") > split_rows).drop("df", "rows")
-        left, right = _split_postings(hot, threshold, split_rows)
-        keys = ["token", "left_cell", "right_cell"]
-        met = met.unionByName(_meet(left.repartition(tasks, *keys), right, keys, threshold))
-    return (
-        met.groupBy("vector_id", "other_vector")
-        .agg(F.sum("part").alias("part"), F.min("missing").alias("missing"))
-        .where(F.col("part") + F.col("missing") >= F.lit(threshold - SLACK))
-        .select("vector_id", "other_vector")
+    met = left.alias("l").join(
+        right.alias("r"),
+        (F.col("l.token_id") == F.col("r.token_id"))
+        & (F.col("l.left_cell") == F.col("r.left_cell"))
+        & (F.col("l.right_cell") == F.col("r.right_cell"))
+        & (F.col("l.vector_id") < F.col("r.vector_id"))
+        & (F.col("l.head") * F.col("r.head") >= F.lit(floor)),
+    )
+    return met.select(
+        F.col("l.vector_id").alias("vector_id"), F.col("r.vector_id").alias("other_vector")
     )
 
 
-def score_pairs(vectors: Vectors, pairs: DataFrame, *, digits: int | None = None) -> DataFrame:
-    """The cosine of each asked pair of vectors, 0 where they share nothing.
-
-    ``pairs`` holds (vector_id, other_vector). Order does not matter, and pairs
-    with an unknown id, or an all-zero vector, score 0.
-    """
-    sides = vectors.frame.select(
-        "vector_id", "copies", F.col("entries.token").alias("tokens"),
-        F.col("entries.weight").alias("weights"),
-    )
-    left = sides.toDF("vector_id", "copies", "left_tokens", "left_weights")
-    right = sides.toDF("other_vector", "other_copies", "right_tokens", "right_weights")
-    score = F.coalesce(
-        sparse_dot(
-            F.col("left_tokens"),
-            F.col("left_weights"),
-            F.col("right_tokens"),
-            F.col("right_weights"),
-        ),
-        F.lit(0.0),
+def _with_rests(pairs: DataFrame, rests: DataFrame) -> DataFrame:
+    """Adds the exact contribution of the frequent tokens to ``part``."""
+    left = rests.select("vector_id", F.col("tokens").alias("lt"), F.col("weights").alias("lw"))
+    right = rests.select(
+        F.col("vector_id").alias("other_vector"),
+        F.col("tokens").alias("rt"),
+        F.col("weights").alias("rw"),
     )
+    more = sparse_dot(F.col("lt"), F.col("lw"), F.col("rt"), F.col("rw"))
     return (
         pairs.join(left, "vector_id", "left")
         .join(right, "other_vector", "left")
         .select(
             "vector_id",
             "other_vector",
-            (score if digits is None else F.round(score, digits)).alias("similarity"),
-            "copies",
-            "other_copies",
+            (F.col("part") + F.coalesce(more, F.lit(0.0))).alias("part"),
         )
     )
 
@@ -209,8 +248,8 @@ def similar_vectors(
     vectors: Vectors,
     threshold: float,
     *,
-    digits: int | None = None,
-    split_rows: int = SPLIT_ROWS,
+    digits: int = DIGITS,
+    frequent_rows: int = FREQUENT_ROWS,
 ) -> DataFrame:
     """Every pair of vectors with a cosine of at least ``threshold``; see SimilarityIndex.links."""
     if not 0 < threshold <= 1:
@@ -218,32 +257,76 @@ def similar_vectors(
             "threshold must be above 0 and at most 1: pairs that share nothing score 0 and are "
             "not stored; ask score_pairs for given pairs, or similar_items with threshold 0"
         )
-    scored = score_pairs(vectors, _open_pairs(vectors, threshold, split_rows))
-    links = scored.where(F.col("similarity") >= F.lit(float(threshold)))
-    if vectors.members is not None:
-        links = links.unionByName(
-            vectors.frame.where("copies > 1").select(
-                "vector_id",
-                F.col("vector_id").alias("other_vector"),
-                F.lit(1.0).alias("similarity"),
-                "copies",
-                F.col("copies").alias("other_copies"),
-            )
+    floor = max(threshold - _slack(digits), 0.0) or threshold / 2
+    if vectors.vocabulary.where(F.col("rows") > F.lit(frequent_rows)).isEmpty():
+        parts = _usual_parts(vectors, frequent_rows, None)
+    else:
+        rests = staged(_rests(vectors, frequent_rows), "rests")
+        alone = _frequent_pairs(vectors, frequent_rows, floor).select(
+            "vector_id", "other_vector", F.lit(0.0).alias("part"), F.lit(1.0).alias("missing")
+        )
+        open_pairs = (
+            _usual_parts(vectors, frequent_rows, rests)
+            .unionByName(alone)
+            .groupBy("vector_id", "other_vector")
+            .agg(F.sum("part").alias("part"), F.max("missing").alias("missing"))
+            .where(F.col("part") + F.col("missing") >= F.lit(floor))
         )
-    if digits is not None:
-        links = links.withColumn("similarity", F.round("similarity", digits))
-    return links
+        parts = _with_rests(open_pairs, rests)
+    links = parts.select(
+        "vector_id", "other_vector", F.round("part", digits).alias("similarity")
+    ).where(F.col("similarity") >= F.lit(float(threshold)))
+    if vectors.members is None:
+        return links
+    return links.unionByName(
+        vectors.frame.where("copies > 1").select(
+            "vector_id", F.col("vector_id").alias("other_vector"), F.lit(1.0).alias("similarity")
+        )
+    )
+
+
+def score_pairs(vectors: Vectors, pairs: DataFrame, *, digits: int = DIGITS) -> DataFrame:
+    """The cosine of each asked pair of items, 0 where they share nothing.
+
+    ``pairs`` holds (item_id, other_id) in any order. A pair with an unknown or
+    an all-zero item scores 0.
+    """
+    sides = vectors.frame.select(
+        "vector_id",
+        F.col("entries.token_id").alias("tokens"),
+        F.col("entries.weight").alias("weights"),
+    )
+    if vectors.members is None:
+        sides = sides.withColumnRenamed("vector_id", "item_id")
+    else:
+        sides = vectors.members.select("item_id", "vector_id").join(sides, "vector_id")
+    left = sides.select("item_id", F.col("tokens").alias("lt"), F.col("weights").alias("lw"))
+    right = sides.select(
+        F.col("item_id").alias("other_id"),
+        F.col("tokens").alias("rt"),
+        F.col("weights").alias("rw"),
+    )
+    score = sparse_dot(F.col("lt"), F.col("lw"), F.col("rt"), F.col("rw"))
+    return (
+        pairs.join(left, "item_id", "left")
+        .join(right, "other_id", "left")
+        .select(
+            "item_id",
+            "other_id",
+            F.round(F.coalesce(score, F.lit(0.0)), digits).alias("similarity"),
+        )
+    )
 
 
 def build_index(
     vectors: Vectors,
     threshold: float,
     *,
-    digits: int | None = None,
-    split_rows: int = SPLIT_ROWS,
+    digits: int = DIGITS,
+    frequent_rows: int = FREQUENT_ROWS,
 ) -> SimilarityIndex:
     """Find and store the similar pairs of vectors."""
-    links = similar_vectors(vectors, threshold, digits=digits, split_rows=split_rows)
+    links = similar_vectors(vectors, threshold, digits=digits, frequent_rows=frequent_rows)
     return SimilarityIndex(staged(links, "links"), vectors.members, threshold)
 
 
@@ -254,26 +337,20 @@ def _slots(copies: Column) -> Column:
 def _write_out_copies(links: DataFrame, members: DataFrame) -> DataFrame:
     """Item pairs from vector pairs. Large groups of copies are cut into slots and
     a link visits each pair of slots, so no task holds a whole group."""
+    slots = _slots(F.col("copies"))
     slotted = members.select(
-        "item_id", "vector_id", F.pmod(F.xxhash64("item_id"), _slots(F.col("copies"))).alias("slot")
+        "item_id", "vector_id", F.pmod(F.xxhash64("item_id"), slots).cast("int").alias("slot")
     )
-
-    def each_slot(copies: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), _slots(F.col(copies)) - 1))
-
-    visits = links.select("*", each_slot("copies").alias("left_slot")).select(
-        "*", each_slot("other_copies").alias("right_slot")
-    )
-    left = slotted.select(
-        F.col("item_id").alias("a"),
-        F.col("vector_id").alias("vector_id"),
-        F.col("slot").cast("int").alias("left_slot"),
-    )
-    right = slotted.select(
-        F.col("item_id").alias("b"),
-        F.col("vector_id").alias("other_vector"),
-        F.col("slot").cast("int").alias("right_slot"),
+    sizes = members.where("item_id = vector_id").select("vector_id", slots.alias("slots"))
+    each = F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
+    visits = (
+        links.join(sizes, "vector_id")
+        .select("vector_id", "other_vector", "similarity", each.alias("left_slot"))
+        .join(sizes.withColumnRenamed("vector_id", "other_vector"), "other_vector")
+        .select("vector_id", "other_vector", "similarity", "left_slot", each.alias("right_slot"))
     )
+    left = slotted.toDF("a", "vector_id", "left_slot")
+    right = slotted.toDF("b", "other_vector", "right_slot")
     met = visits.join(left, ["vector_id", "left_slot"]).join(right, ["other_vector", "right_slot"])
     return met.where(
         (F.col("vector_id") != F.col("other_vector")) | (F.col("a") < F.col("b"))
@@ -287,12 +364,12 @@ def similar_pairs(
     threshold: float,
     *,
     columns: tuple[str, ...] = FEATURE_COLUMNS,
-    digits: int | None = None,
-    split_rows: int = SPLIT_ROWS,
+    digits: int = DIGITS,
+    frequent_rows: int = FREQUENT_ROWS,
 ) -> DataFrame:
     """(item_id, other_id, similarity) of every pair at or above the threshold."""
     vectors = build_vectors(items, columns)
-    return build_index(vectors, threshold, digits=digits, split_rows=split_rows).edges()
+    return build_index(vectors, threshold, digits=digits, frequent_rows=frequent_rows).edges()
 
 
 def write_similar_pairs(

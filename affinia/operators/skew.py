@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1.0 / 1000
 
 
+def count_total(dictionary: DataFrame, count_column: str) -> int:
+    """Rows that a counted dictionary stands for."""
+    return dictionary.agg(F.coalesce(F.sum(count_column), F.lit(0)).alias("total")).first()["total"]
+
+
 def join_counted(
     rows: DataFrame,
     dictionary: DataFrame,

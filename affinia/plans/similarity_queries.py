@@ -15,6 +15,7 @@ from affinia.operators.features import (
     hashed_norms,
     inverse_document_frequency,
     item_tokens,
+    item_weights,
     vectors_from_norms,
 )
 from affinia.operators.neighbours import (
@@ -66,7 +67,7 @@ scores AS (
 ),
 edges AS (
     SELECT item_id, other_id, round(score, {DIGITS}) AS similarity
-    FROM scores WHERE score >= {THRESHOLD}
+    FROM scores WHERE round(score, {DIGITS}) >= {THRESHOLD}
 ),
 both_ways AS (
     SELECT * FROM edges UNION ALL SELECT other_id, item_id, similarity FROM edges
@@ -105,12 +106,11 @@ TOKEN_IDF_SQL = f"WITH {WEIGHTS_SQL} SELECT token, df, round(idf, {DIGITS}) AS i
 
 def token_unit_weights(spark: SparkSession, folder: str) -> DataFrame:
     vectors = build_vectors(stored_items(spark, folder))
-    weights = vectors.frame.select("vector_id", F.inline("entries")).select(
-        "vector_id", "token", F.round("weight", DIGITS).alias("weight")
+    return (
+        item_weights(vectors)
+        .join(vectors.vocabulary.select("token_id", "token"), "token_id")
+        .select("item_id", "token", F.round("weight", DIGITS).alias("weight"))
     )
-    if vectors.members is None:
-        return weights.withColumnRenamed("vector_id", "item_id")
-    return vectors.members.join(weights, "vector_id").select("item_id", "token", "weight")
 
 
 TOKEN_UNIT_WEIGHTS_SQL = (
@@ -129,12 +129,10 @@ def pair_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The score of each item with the next two items, zeros included."""
     items = stored_items(spark, folder)
     asked = items.select(
-        F.col("item_id").alias("vector_id"),
-        F.explode(F.array(F.col("item_id") + 1, F.col("item_id") + 2)).alias("other_vector"),
-    )
-    return score_pairs(build_vectors(items), asked, digits=DIGITS).select(
-        F.col("vector_id").alias("item_id"), F.col("other_vector").alias("other_id"), "similarity"
+        "item_id",
+        F.explode(F.array(F.col("item_id") + 1, F.col("item_id") + 2)).alias("other_id"),
     )
+    return score_pairs(build_vectors(items), asked, digits=DIGITS)
 
 
 PAIR_SCORES_SQL = f"""
