@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.functions.tokens import feature_tokens
@@ -25,8 +25,9 @@ FEATURE_COLUMNS = ("title", "genres", "rating", "persons")
 class Vectors:
     """Unit vectors in the work area.
 
-    frame       vector_id, copies, entries array<struct<rows, token_id, weight>>, from the
-                rarest token to the most frequent; ``rows`` is how many vectors hold it
+    frame       vector_id, copies, entries array<struct<rows, token_id, weight, head>>, from
+                the rarest token to the most frequent; ``rows`` is how many vectors hold
+                the token, ``head`` the length of the vector from this token on
     vocabulary  token_id, rows and more
     members     item_id, vector_id, copies; None where no two items are copies
     items       number of items
@@ -82,13 +83,10 @@ def term_frequency(folded: DataFrame) -> DataFrame:
     return exploded.groupBy("vector_id", "copies", "token").agg(F.count("*").alias("tf"))
 
 
-def document_frequency(folded: DataFrame) -> DataFrame:
+def document_frequency(frequencies: DataFrame) -> DataFrame:
     """(token, df, rows): items, and vectors, that hold each token."""
-    distinct = F.array_distinct(F.split("bag", ","))
-    return (
-        folded.select("copies", F.explode(distinct).alias("token"))
-        .groupBy("token")
-        .agg(F.sum("copies").alias("df"), F.count("*").alias("rows"))
+    return frequencies.groupBy("token").agg(
+        F.sum("copies").alias("df"), F.count("*").alias("rows")
     )
 
 
@@ -110,25 +108,27 @@ def numbered(vocabulary: DataFrame) -> DataFrame:
 def unit_vectors(weighted: DataFrame) -> DataFrame:
     """Vectors of length 1 from (vector_id, copies, token_id, rows, w): see Vectors.frame.
 
+    Running sums from the most frequent token down give the remaining lengths and
+    the full length in one sort per vector, added in the same order on every run.
     Zero weights go; a vector with nothing else has no row, and scores 0 with all.
     """
-    raw = (
-        weighted.where("w > 0")
-        .groupBy("vector_id", "copies")
-        .agg(F.sort_array(F.collect_list(F.struct("rows", "token_id", "w"))).alias("raw"))
+    down = Window.partitionBy("vector_id").orderBy(F.desc("rows"), F.desc("token_id"))
+    square = F.sum(F.col("w") * F.col("w"))
+    measured = weighted.where("w > 0").select(
+        "*",
+        square.over(down.rowsBetween(Window.unboundedPreceding, 0)).alias("from_here"),
+        square.over(
+            down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ).alias("whole"),
+    )
+    entry = F.struct(
+        "rows",
+        "token_id",
+        (F.col("w") / F.sqrt("whole")).alias("weight"),
+        F.sqrt(F.col("from_here") / F.col("whole")).alias("head"),
     )
-    square = F.aggregate("raw", F.lit(0.0), lambda total, entry: total + entry["w"] * entry["w"])
-    return raw.withColumn("length", F.sqrt(square)).select(
-        "vector_id",
-        "copies",
-        F.transform(
-            "raw",
-            lambda entry: F.struct(
-                entry["rows"].alias("rows"),
-                entry["token_id"].alias("token_id"),
-                (entry["w"] / F.col("length")).alias("weight"),
-            ),
-        ).alias("entries"),
+    return measured.groupBy("vector_id", "copies").agg(
+        F.sort_array(F.collect_list(entry)).alias("entries")
     )
 
 
@@ -148,11 +148,12 @@ def build_vectors(
     size = folded.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("items"), F.count("*").alias("vectors")
     ).first()
+    frequencies = staged(term_frequency(folded), "frequencies")
     vocabulary = numbered(
-        inverse_document_frequency(document_frequency(folded), size["items"])
+        inverse_document_frequency(document_frequency(frequencies), size["items"])
     )
     weighted = join_counted(
-        term_frequency(folded), vocabulary, "token", "rows", count_total(vocabulary, "rows")
+        frequencies, vocabulary, "token", "rows", count_total(vocabulary, "rows")
     ).select(
         "vector_id", "copies", "token_id", "rows", (F.col("tf") * F.col("idf")).alias("w")
     )
@@ -164,7 +165,7 @@ def build_vectors(
 
 def item_weights(vectors: Vectors) -> DataFrame:
     """(item_id, token_id, weight) of every item."""
-    weights = vectors.frame.select("vector_id", F.inline("entries")).drop("rows")
+    weights = vectors.frame.select("vector_id", F.inline("entries")).drop("rows", "head")
     if vectors.members is None:
         return weights.withColumnRenamed("vector_id", "item_id")
     members = vectors.members.select("item_id", "vector_id")

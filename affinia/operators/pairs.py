@@ -37,8 +37,13 @@ from affinia.sources.workspace import staged
 # Decimals kept of a score. Float sums depend on the order of adding in the last
 # digits; rounding makes equal scores equal, so ties break the same on every run.
 DIGITS = 9
-# Tokens held by more vectors than this are frequent.
-FREQUENT_ROWS = 4096
+# Tokens held by more vectors than this are always frequent: one token of an index
+# is joined by one task.
+FREQUENT_ROWS = 8192
+# Scoring a pair from two remainders costs about as much as this many meetings.
+SCORING_COST = 20
+# Postings of one band of a frequent token in one cell.
+CELL_ROWS = 4096
 # Remaining-length bands of a frequent token.
 BANDS = 8
 # An index of usual tokens with no more rows than this is broadcast (24 bytes a row).
@@ -81,32 +86,121 @@ def _slack(digits: int) -> float:
     return 10.0**-digits
 
 
+@dataclass(frozen=True)
+class _Effort:
+    """Which tokens are usual, and what joining them costs."""
+
+    frequent_rows: int
+    rows: int
+    meetings: float
+    any_frequent: bool
+
+
+def _postings(vectors: Vectors) -> DataFrame:
+    """(vector_id, rows, token_id, weight, head), one row per vector and token."""
+    return vectors.frame.select("vector_id", F.inline("entries"))
+
+
+def _last_band(floor: float) -> int:
+    return BANDS if floor < 0.99 else 0
+
+
+def _band(floor: float) -> Column:
+    """How a remaining length compares with the threshold: 0 for 1, the last band for ``floor``.
+
+    Lengths of two bands whose numbers add up to more than the last band have a
+    product below ``floor``.
+    """
+    last = _last_band(floor)
+    if last == 0:
+        return F.lit(0)
+    depth = F.ln(F.least(F.col("head"), F.lit(1.0))) / F.lit(log(floor))
+    return F.least(F.greatest(F.floor(depth * last), F.lit(0)), F.lit(last)).cast("int")
+
+
+def _reach(vectors: Vectors, floor: float) -> DataFrame:
+    """(token_id, rows, band_0, ...): postings per band that can still reach ``floor``."""
+    reaching = _postings(vectors).where(F.col("head") >= F.lit(floor))
+    banded = reaching.select("token_id", "rows", _band(floor).alias("band"))
+    counts = [
+        F.sum(F.when(F.col("band") == b, 1).otherwise(0)).alias(f"band_{b}")
+        for b in range(_last_band(floor) + 1)
+    ]
+    return staged(
+        banded.groupBy("token_id").agg(F.max("rows").alias("rows"), *counts), "reach"
+    )
+
+
+def _plan_effort(
+    vocabulary: DataFrame, reach: DataFrame, frequent_rows: int | None
+) -> _Effort:
+    """Choose the limit between usual and frequent tokens, or take the given one.
+
+    A usual token costs a meeting per pair of its vectors; a frequent one costs
+    the scoring of each pair that may reach the threshold. Both are counted per
+    power of two of the token counts, which makes at most 64 rows, and the limit
+    with the least total is taken.
+    """
+    count = F.col("rows").cast("double")
+    level = F.ceil(F.log2(count)).cast("int")
+    if frequent_rows is not None:
+        level = (F.col("rows") > F.lit(frequent_rows)).cast("int")
+    last = sum(1 for name in reach.columns if name.startswith("band_")) - 1
+    partners = sum(
+        F.col(f"band_{i}").cast("double") * sum(F.col(f"band_{j}") for j in range(last - i + 1))
+        for i in range(last + 1)
+    )
+    scored = reach.groupBy(level.alias("level")).agg(F.sum(partners / 2).alias("scored"))
+    levels = (
+        vocabulary.groupBy(level.alias("level"))
+        .agg(F.sum("rows").alias("rows"), F.sum(count * (count - 1) / 2).alias("meetings"))
+        .join(scored, "level", "left")
+        .orderBy("level")
+        .collect()
+    )
+
+    def cost(usual: int) -> float:
+        met = sum(found["meetings"] for found in levels[:usual])
+        return met + SCORING_COST * sum(found["scored"] or 0.0 for found in levels[usual:])
+
+    if frequent_rows is not None:
+        limit = frequent_rows
+        usual = sum(1 for found in levels if found["level"] == 0)
+    else:
+        allowed = sum(1 for found in levels if 2 ** found["level"] <= FREQUENT_ROWS)
+        usual = min(range(allowed, -1, -1), key=cost)
+        limit = 2 ** levels[usual - 1]["level"] if usual else 0
+    return _Effort(
+        frequent_rows=limit,
+        rows=sum(found["rows"] for found in levels[:usual]),
+        meetings=sum(found["meetings"] for found in levels[:usual]),
+        any_frequent=usual < len(levels),
+    )
+
+
 def _usual_parts(
-    vectors: Vectors, frequent_rows: int, rest: DataFrame | None
+    vectors: Vectors, effort: _Effort, rest: DataFrame | None, floor: float
 ) -> DataFrame:
-    """(vector_id, other_vector, part[, missing]) of every pair that shares a usual token.
+    """(vector_id, other_vector, part[, missing]) of pairs that share a usual token and
+    may reach ``floor``.
 
     ``part`` is the exact sum over usual tokens, ``missing`` the most the rest can add.
     """
-    usual = vectors.vocabulary.where(F.col("rows") <= F.lit(frequent_rows)).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.coalesce(
-            F.sum(F.col("rows") * (F.col("rows") - F.lit(1.0)) / F.lit(2.0)), F.lit(0.0)
-        ).alias("meetings"),
-    ).first()
     # Tasks follow the counted meetings: input bytes say nothing about a join that
     # turns each row into thousands.
-    floor = int(vectors.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(floor, min(MOST_TASKS, ceil(usual["meetings"] / MEETINGS_PER_TASK)))
-    postings = vectors.frame.select("vector_id", F.inline("entries")).where(
-        F.col("rows") <= F.lit(frequent_rows)
-    ).drop("rows")
+    least = int(vectors.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, min(MOST_TASKS, ceil(effort.meetings / MEETINGS_PER_TASK)))
+    postings = (
+        _postings(vectors)
+        .where(F.col("rows") <= F.lit(effort.frequent_rows))
+        .drop("rows", "head")
+    )
     if rest is not None:
         lengths = rest.select("vector_id", "length")
         postings = postings.join(lengths, "vector_id", "left").withColumn(
             "length", F.coalesce("length", F.lit(0.0))
         )
-    if usual["rows"] <= BROADCAST_ROWS:
+    if effort.rows <= BROADCAST_ROWS:
         # All products of one vector arise in one task, so their sum needs no shuffle.
         left, right = postings.repartition(tasks, "vector_id"), F.broadcast(postings)
     else:
@@ -122,10 +216,13 @@ def _usual_parts(
         (F.col("l.weight") * F.col("r.weight")).alias("part"),
     ]
     sums = [F.sum("part").alias("part")]
+    reach = F.col("part")
     if rest is not None:
         columns.append((F.col("l.length") * F.col("r.length")).alias("missing"))
         sums.append(F.max("missing").alias("missing"))
-    return met.select(*columns).groupBy("vector_id", "other_vector").agg(*sums)
+        reach = F.col("part") + F.col("missing")
+    summed = met.select(*columns).groupBy("vector_id", "other_vector").agg(*sums)
+    return summed.where(reach >= F.lit(floor))
 
 
 def _rests(vectors: Vectors, frequent_rows: int) -> DataFrame:
@@ -143,50 +240,36 @@ def _rests(vectors: Vectors, frequent_rows: int) -> DataFrame:
     )
 
 
-def _frequent_postings(vectors: Vectors, frequent_rows: int, floor: float) -> DataFrame:
-    """(vector_id, token_id, head): ``head`` is the vector's length from this token on."""
-    down = Window.partitionBy("vector_id").orderBy(F.desc("rows"), F.desc("token_id"))
-    head = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(down))
-    return (
-        vectors.frame.select("vector_id", F.inline("entries"))
-        .where(F.col("rows") > F.lit(frequent_rows))
-        .select("vector_id", "token_id", head.alias("head"))
-        .where(F.col("head") >= F.lit(floor))
-    )
-
-
 def _frequent_cells(
-    postings: DataFrame, floor: float, slot_rows: int
+    vectors: Vectors, reach: DataFrame, frequent_rows: int, floor: float
 ) -> tuple[DataFrame, DataFrame]:
     """Left and right sides of the join on frequent tokens, cut into small cells.
 
-    A posting's band says how its remaining length compares with the threshold.
     Two bands whose product must fall short share no cell. A band with many
     postings is cut into slots, and each pair of slots is one cell, so a token
     held by a third of all vectors is joined by many tasks.
     """
-    bands = BANDS if floor < 0.99 else 0
-    if bands:
-        depth = F.ln(F.least(F.col("head"), F.lit(1.0))) / F.lit(log(floor))
-        band = F.least(F.greatest(F.floor(depth * bands), F.lit(0)), F.lit(bands)).cast("int")
-    else:
-        band = F.lit(0)
-    banded = staged(postings.withColumn("band", band), "frequent")
-    per_band = [
-        F.ceil(F.sum(F.when(F.col("band") == b, 1).otherwise(0)) / F.lit(slot_rows)).cast("int")
-        for b in range(bands + 1)
-    ]
+    last = _last_band(floor)
+    bands = [F.col(f"band_{b}") for b in range(last + 1)]
+    frequent = F.col("rows") > F.lit(frequent_rows)
     plan = staged(
-        banded.groupBy("token_id").agg(
-            F.array(*per_band).alias("slots"), F.count("*").alias("held")
+        reach.where(frequent).select(
+            "token_id",
+            F.array(*[F.ceil(band / F.lit(CELL_ROWS)).cast("int") for band in bands]).alias("slots"),
+            sum(bands).alias("held"),
         ),
         "cells",
     )
+    banded = (
+        _postings(vectors)
+        .where(frequent & (F.col("head") >= F.lit(floor)))
+        .select("vector_id", "token_id", "head", _band(floor).alias("band"))
+    )
     placed = join_counted(banded, plan, "token_id", "held", count_total(plan, "held")).withColumn(
         "slot", F.pmod(F.xxhash64("vector_id"), F.get("slots", F.col("band"))).cast("int")
     )
     partner_bands = F.filter(
-        F.sequence(F.lit(0), F.lit(bands) - F.col("band")),
+        F.sequence(F.lit(0), F.lit(last) - F.col("band")),
         lambda other: F.get(F.col("slots"), other) > 0,
     )
     partners = F.flatten(
@@ -206,11 +289,11 @@ def _frequent_cells(
     return left, right
 
 
-def _frequent_pairs(vectors: Vectors, frequent_rows: int, floor: float) -> DataFrame:
+def _frequent_pairs(
+    vectors: Vectors, reach: DataFrame, frequent_rows: int, floor: float
+) -> DataFrame:
     """(vector_id, other_vector) that frequent tokens alone may bring to the threshold."""
-    left, right = _frequent_cells(
-        _frequent_postings(vectors, frequent_rows, floor), floor, frequent_rows
-    )
+    left, right = _frequent_cells(vectors, reach, frequent_rows, floor)
     met = left.alias("l").join(
         right.alias("r"),
         (F.col("l.token_id") == F.col("r.token_id"))
@@ -249,7 +332,7 @@ def similar_vectors(
     threshold: float,
     *,
     digits: int = DIGITS,
-    frequent_rows: int = FREQUENT_ROWS,
+    frequent_rows: int | None = None,
 ) -> DataFrame:
     """Every pair of vectors with a cosine of at least ``threshold``; see SimilarityIndex.links."""
     if not 0 < threshold <= 1:
@@ -258,19 +341,23 @@ def similar_vectors(
             "not stored; ask score_pairs for given pairs, or similar_items with threshold 0"
         )
     floor = max(threshold - _slack(digits), 0.0) or threshold / 2
-    if vectors.vocabulary.where(F.col("rows") > F.lit(frequent_rows)).isEmpty():
-        parts = _usual_parts(vectors, frequent_rows, None)
+    reach = _reach(vectors, floor)
+    effort = _plan_effort(vectors.vocabulary, reach, frequent_rows)
+    if not effort.any_frequent:
+        parts = _usual_parts(vectors, effort, None, floor)
     else:
-        rests = staged(_rests(vectors, frequent_rows), "rests")
-        alone = _frequent_pairs(vectors, frequent_rows, floor).select(
-            "vector_id", "other_vector", F.lit(0.0).alias("part"), F.lit(1.0).alias("missing")
+        rests = staged(_rests(vectors, effort.frequent_rows), "rests")
+        # A pair dropped by its bound may come back here with no usual part; its
+        # score then only gets lower still, and it is dropped at the end.
+        alone = _frequent_pairs(vectors, reach, effort.frequent_rows, floor).select(
+            "vector_id", "other_vector", F.lit(0.0).alias("part")
         )
         open_pairs = (
-            _usual_parts(vectors, frequent_rows, rests)
+            _usual_parts(vectors, effort, rests, floor)
+            .drop("missing")
             .unionByName(alone)
             .groupBy("vector_id", "other_vector")
-            .agg(F.sum("part").alias("part"), F.max("missing").alias("missing"))
-            .where(F.col("part") + F.col("missing") >= F.lit(floor))
+            .agg(F.sum("part").alias("part"))
         )
         parts = _with_rests(open_pairs, rests)
     links = parts.select(
@@ -323,7 +410,7 @@ def build_index(
     threshold: float,
     *,
     digits: int = DIGITS,
-    frequent_rows: int = FREQUENT_ROWS,
+    frequent_rows: int | None = None,
 ) -> SimilarityIndex:
     """Find and store the similar pairs of vectors."""
     links = similar_vectors(vectors, threshold, digits=digits, frequent_rows=frequent_rows)
@@ -365,7 +452,7 @@ def similar_pairs(
     *,
     columns: tuple[str, ...] = FEATURE_COLUMNS,
     digits: int = DIGITS,
-    frequent_rows: int = FREQUENT_ROWS,
+    frequent_rows: int | None = None,
 ) -> DataFrame:
     """(item_id, other_id, similarity) of every pair at or above the threshold."""
     vectors = build_vectors(items, columns)

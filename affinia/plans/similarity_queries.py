@@ -16,6 +16,7 @@ from affinia.operators.features import (
     inverse_document_frequency,
     item_tokens,
     item_weights,
+    term_frequency,
     vectors_from_norms,
 )
 from affinia.operators.neighbours import (
@@ -97,7 +98,8 @@ FROM items
 def token_idf(spark: SparkSession, folder: str) -> DataFrame:
     items = stored_items(spark, folder)
     folded = staged(fold_copies(item_tokens(items)), "folded")
-    weights = inverse_document_frequency(document_frequency(folded), items.count())
+    frequencies = document_frequency(term_frequency(folded))
+    weights = inverse_document_frequency(frequencies, items.count())
     return weights.select("token", "df", F.round("idf", DIGITS).alias("idf"))
 
 

@@ -268,3 +268,30 @@ def test_pair_table_is_written_once(spark, items):
     first = spark.read.parquet(path)
     assert first.columns == ["item_id", "other_id", "similarity"]
     assert first.count() > 0
+
+
+def test_limit_of_usual_tokens_follows_the_cost(vectors, truth, monkeypatch):
+    """The dearer scoring is, the more tokens are summed; results stay the same."""
+    monkeypatch.setattr(pairs, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(pairs, "CELL_ROWS", 3)
+    chosen = []
+    for cost in (0, 1, 1_000_000):
+        monkeypatch.setattr(pairs, "SCORING_COST", cost)
+        reach = pairs._reach(vectors, 0.25)
+        chosen.append(pairs._plan_effort(vectors.vocabulary, reach, None))
+        index = build_index(vectors, 0.25)
+        same(table(index.edges()), {k: s for k, s in truth.items() if s >= 0.25})
+    assert chosen[0].rows <= chosen[1].rows < chosen[2].rows
+    assert chosen[0].any_frequent and not chosen[2].any_frequent
+
+
+def test_bands_never_part_a_pair_that_reaches_the_threshold(spark):
+    for floor in (0.05, 0.3, 0.5, 0.98, 0.995):
+        last = pairs._last_band(floor)
+        heads = spark.range(1, 1001).select((F.col("id") / 1000).alias("head")).where(
+            F.col("head") >= floor
+        )
+        banded = [(r[0], r[1]) for r in heads.select("head", pairs._band(floor)).collect()]
+        for head, band in banded:
+            for other, other_band in banded:
+                assert head * other < floor or band + other_band <= last
