@@ -200,16 +200,6 @@ def _usual_parts(
         postings = postings.join(lengths, "vector_id", "left").withColumn(
             "length", F.coalesce("length", F.lit(0.0))
         )
-    if effort.rows <= BROADCAST_ROWS:
-        # All products of one vector arise in one task, so their sum needs no shuffle.
-        left, right = postings.repartition(tasks, "vector_id"), F.broadcast(postings)
-    else:
-        left, right = postings.repartition(tasks, "token_id"), postings
-    met = left.alias("l").join(
-        right.alias("r"),
-        (F.col("l.token_id") == F.col("r.token_id"))
-        & (F.col("l.vector_id") < F.col("r.vector_id")),
-    )
     columns = [
         F.col("l.vector_id").alias("vector_id"),
         F.col("r.vector_id").alias("other_vector"),
@@ -221,7 +211,26 @@ def _usual_parts(
         columns.append((F.col("l.length") * F.col("r.length")).alias("missing"))
         sums.append(F.max("missing").alias("missing"))
         reach = F.col("part") + F.col("missing")
-    summed = met.select(*columns).groupBy("vector_id", "other_vector").agg(*sums)
+    broadcast = effort.rows <= BROADCAST_ROWS
+    if broadcast:
+        # All products of one vector arise in one task, so their sum needs no shuffle.
+        left, right = postings.repartition(tasks, "vector_id"), F.broadcast(postings)
+    else:
+        left, right = postings.repartition(tasks, "token_id"), postings
+    met = (
+        left.alias("l")
+        .join(
+            right.alias("r"),
+            (F.col("l.token_id") == F.col("r.token_id"))
+            & (F.col("l.vector_id") < F.col("r.vector_id")),
+        )
+        .select(*columns)
+    )
+    if not broadcast:
+        # Few products of a pair arise in the same task: summing them before the
+        # shuffle would only cost time, and the partitions must follow the meetings.
+        met = met.repartition(tasks, "vector_id", "other_vector")
+    summed = met.groupBy("vector_id", "other_vector").agg(*sums)
     return summed.where(reach >= F.lit(floor))
 
 
