@@ -181,22 +181,49 @@ def hashed_norms(
 ) -> DataFrame:
     """(item_id, norm): TF-IDF over hashed tokens as ML vectors of length 1."""
     tokens = staged(item_tokens(items, columns, item_column=item_column), "tokens")
-    counted = HashingTF(numFeatures=buckets, inputCol="features", outputCol="tf").transform(tokens)
-    weighted = IDF(inputCol="tf", outputCol="tfidf").fit(counted).transform(counted)
+    return _normed(tokens, tokens, buckets)
+
+
+def _normed(fitted: DataFrame, transformed: DataFrame, buckets: int) -> DataFrame:
+    """``transformed`` with its unit vectors; document frequencies come from ``fitted``.
+
+    The fit brings one number per bucket to the driver, whatever the size of the data.
+    """
+    hashing = HashingTF(numFeatures=buckets, inputCol="features", outputCol="tf")
+    model = IDF(inputCol="tf", outputCol="tfidf").fit(hashing.transform(fitted))
+    weighted = model.transform(hashing.transform(transformed))
     return (
         Normalizer(inputCol="tfidf", outputCol="norm")
         .transform(weighted)
-        .select("item_id", "norm")
+        .drop("features", "tf", "tfidf")
     )
 
 
-def vectors_from_norms(norms: DataFrame) -> Vectors:
-    """The sparse ML vectors of ``hashed_norms`` in the form the pair join reads."""
-    sparse = norms.select("item_id", F.unwrap_udt("norm").alias("v"))
+def build_hashed_vectors(
+    items: DataFrame,
+    columns: Sequence[str] = FEATURE_COLUMNS,
+    *,
+    buckets: int = 1 << 18,
+    item_column: str = "item_id",
+) -> Vectors:
+    """Like ``build_vectors`` with hashed tokens through the ML stages.
+
+    Tokens that share a bucket count as one token.
+    """
+    tokens = staged(item_tokens(items, columns, item_column=item_column), "tokens")
+    folded = staged(fold_copies(tokens), "folded")
+    count = tokens.count()
+    members = None
+    if count > folded.count():
+        members = staged(copy_members(tokens, folded, count), "members")
+    bags = folded.select("vector_id", "copies", F.split("bag", ",").alias("features"))
+    sparse = _normed(tokens, bags, buckets).select(
+        "vector_id", "copies", F.unwrap_udt("norm").alias("v")
+    )
     weights = staged(
         sparse.select(
-            F.col("item_id").alias("vector_id"),
-            F.lit(1).cast("bigint").alias("copies"),
+            "vector_id",
+            "copies",
             F.inline(
                 F.arrays_zip(
                     F.col("v.indices").cast("array<bigint>").alias("token_id"),
@@ -210,4 +237,4 @@ def vectors_from_norms(norms: DataFrame) -> Vectors:
     weighted = join_counted(
         weights, vocabulary, "token_id", "rows", count_total(vocabulary, "rows")
     )
-    return Vectors(staged(unit_vectors(weighted), "vectors"), vocabulary, None, norms.count())
+    return Vectors(staged(unit_vectors(weighted), "vectors"), vocabulary, members, count)

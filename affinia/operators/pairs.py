@@ -3,9 +3,9 @@
 Method: an inverted-index join with a prefix filter on frequent tokens
 (Chaudhuri, Ganti and Kaushik 2006; Bayardo, Ma and Srikant 2007).
 
-Usual tokens, held by a bounded number of vectors, are joined, and the products
-of their weights summed per pair. Frequent tokens are not joined like that,
-however large a share of the vectors holds them:
+Usual tokens are held by a bounded number of vectors. The products of their
+weights are summed per pair. Frequent tokens are not treated like that, however
+large a share of the vectors holds them:
 
 * For pairs that share a usual token, the frequent rest can add at most the
   product of the two rests' lengths. Pairs that fall short are dropped; the rest
@@ -37,19 +37,19 @@ from affinia.sources.workspace import staged
 # Decimals kept of a score. Float sums depend on the order of adding in the last
 # digits; rounding makes equal scores equal, so ties break the same on every run.
 DIGITS = 9
-# Tokens held by more vectors than this are always frequent: one token of an index
-# is joined by one task.
+# Tokens held by more vectors than this are always frequent: the vectors of a usual
+# token make one list.
 FREQUENT_ROWS = 8192
 # Scoring a pair from two remainders costs about as much as this many meetings.
-SCORING_COST = 20
+SCORING_COST = 25
 # Postings of one band of a frequent token in one cell.
 CELL_ROWS = 4096
 # Remaining-length bands of a frequent token.
 BANDS = 8
-# An index of usual tokens with no more rows than this is broadcast (24 bytes a row).
-BROADCAST_ROWS = 1_000_000
-# Meetings per task of the index join, and the most tasks asked for.
-MEETINGS_PER_TASK = 1_000_000
+# Meetings per task while lists are sent and while pairs are summed, and the most
+# tasks asked for.
+MEETINGS_PER_LIST_TASK = 5_000_000
+MEETINGS_PER_TASK = 300_000
 MOST_TASKS = 20_000
 # Copies per slot when copies are written out.
 COPIES_PER_SLOT = 10_000
@@ -91,7 +91,6 @@ class _Effort:
     """Which tokens are usual, and what joining them costs."""
 
     frequent_rows: int
-    rows: int
     meetings: float
     any_frequent: bool
 
@@ -153,7 +152,7 @@ def _plan_effort(
     scored = reach.groupBy(level.alias("level")).agg(F.sum(partners / 2).alias("scored"))
     levels = (
         vocabulary.groupBy(level.alias("level"))
-        .agg(F.sum("rows").alias("rows"), F.sum(count * (count - 1) / 2).alias("meetings"))
+        .agg(F.sum(count * (count - 1) / 2).alias("meetings"))
         .join(scored, "level", "left")
         .orderBy("level")
         .collect()
@@ -172,7 +171,6 @@ def _plan_effort(
         limit = 2 ** levels[usual - 1]["level"] if usual else 0
     return _Effort(
         frequent_rows=limit,
-        rows=sum(found["rows"] for found in levels[:usual]),
         meetings=sum(found["meetings"] for found in levels[:usual]),
         any_frequent=usual < len(levels),
     )
@@ -185,53 +183,65 @@ def _usual_parts(
     may reach ``floor``.
 
     ``part`` is the exact sum over usual tokens, ``missing`` the most the rest can add.
+
+    The vectors of a token make one list, at most FREQUENT_ROWS long. Each vector of
+    the list is sent once, with the tail of the list behind it, to the task that sums
+    its pairs. So what is shuffled are arrays, not a row per meeting, there is no
+    self join, and the sums need no further shuffle.
     """
-    # Tasks follow the counted meetings: input bytes say nothing about a join that
-    # turns each row into thousands.
+    # Tasks follow the counted meetings: input bytes say nothing about rows that each
+    # meet thousands of others.
     least = int(vectors.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(least, min(MOST_TASKS, ceil(effort.meetings / MEETINGS_PER_TASK)))
-    postings = (
-        _postings(vectors)
-        .where(F.col("rows") <= F.lit(effort.frequent_rows))
-        .drop("rows", "head")
+    def tasks(meetings_per_task: int) -> int:
+        return max(least, min(MOST_TASKS, ceil(effort.meetings / meetings_per_task)))
+
+    values = ["weight"]
+    postings = _postings(vectors).where(
+        (F.col("rows") > F.lit(1)) & (F.col("rows") <= F.lit(effort.frequent_rows))
     )
     if rest is not None:
-        lengths = rest.select("vector_id", "length")
-        postings = postings.join(lengths, "vector_id", "left").withColumn(
-            "length", F.coalesce("length", F.lit(0.0))
+        values.append("length")
+        postings = postings.join(rest.select("vector_id", "length"), "vector_id", "left")
+        postings = postings.withColumn("length", F.coalesce("length", F.lit(0.0)))
+    lists = (
+        postings.select("token_id", F.struct("vector_id", *values).alias("posting"))
+        .repartition(tasks(MEETINGS_PER_LIST_TASK), "token_id")
+        .groupBy("token_id")
+        .agg(F.sort_array(F.collect_list("posting")).alias("list"))
+        .select(*[F.col(f"list.{name}").alias(f"{name}s") for name in ("vector_id", *values)])
+    )
+
+    def tail(name: str) -> Column:
+        return F.slice(F.col(name), F.col("at") + 2, F.size("vector_ids")).alias(name)
+
+    sent = (
+        lists.select("*", F.posexplode("vector_ids").alias("at", "vector_id"))
+        .select(
+            "vector_id",
+            tail("vector_ids"),
+            *[F.get(f"{name}s", F.col("at")).alias(name) for name in values],
+            *[tail(f"{name}s") for name in values],
         )
-    columns = [
-        F.col("l.vector_id").alias("vector_id"),
-        F.col("r.vector_id").alias("other_vector"),
-        (F.col("l.weight") * F.col("r.weight")).alias("part"),
-    ]
+        .repartition(tasks(MEETINGS_PER_TASK), "vector_id")
+    )
+
+    def product(name: str) -> Column:
+        return F.col(name) * F.get(f"{name}s", F.col("at"))
+
+    columns = ["vector_id", "other_vector", product("weight").alias("part")]
     sums = [F.sum("part").alias("part")]
     reach = F.col("part")
     if rest is not None:
-        columns.append((F.col("l.length") * F.col("r.length")).alias("missing"))
+        columns.append(product("length").alias("missing"))
         sums.append(F.max("missing").alias("missing"))
         reach = F.col("part") + F.col("missing")
-    broadcast = effort.rows <= BROADCAST_ROWS
-    if broadcast:
-        # All products of one vector arise in one task, so their sum needs no shuffle.
-        left, right = postings.repartition(tasks, "vector_id"), F.broadcast(postings)
-    else:
-        left, right = postings.repartition(tasks, "token_id"), postings
-    met = (
-        left.alias("l")
-        .join(
-            right.alias("r"),
-            (F.col("l.token_id") == F.col("r.token_id"))
-            & (F.col("l.vector_id") < F.col("r.vector_id")),
-        )
+    return (
+        sent.select("*", F.posexplode("vector_ids").alias("at", "other_vector"))
         .select(*columns)
+        .groupBy("vector_id", "other_vector")
+        .agg(*sums)
+        .where(reach >= F.lit(floor))
     )
-    if not broadcast:
-        # Few products of a pair arise in the same task: summing them before the
-        # shuffle would only cost time, and the partitions must follow the meetings.
-        met = met.repartition(tasks, "vector_id", "other_vector")
-    summed = met.groupBy("vector_id", "other_vector").agg(*sums)
-    return summed.where(reach >= F.lit(floor))
 
 
 def _rests(vectors: Vectors, frequent_rows: int) -> DataFrame:

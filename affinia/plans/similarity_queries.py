@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from affinia.functions.tokens import joined
 from affinia.functions.vectors import dense_cosine
 from affinia.operators.features import (
-    FEATURE_COLUMNS,
+    build_hashed_vectors,
     build_vectors,
     document_frequency,
     fold_copies,
@@ -17,7 +17,6 @@ from affinia.operators.features import (
     item_tokens,
     item_weights,
     term_frequency,
-    vectors_from_norms,
 )
 from affinia.operators.neighbours import (
     dense_neighbours,
@@ -252,10 +251,22 @@ def mirrored_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 def hashed_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Hashed tokens through the ML stages; may differ where two tokens share a bucket."""
-    vectors = vectors_from_norms(hashed_norms(stored_items(spark, folder), FEATURE_COLUMNS))
+    vectors = build_hashed_vectors(stored_items(spark, folder))
     return build_index(vectors, THRESHOLD, digits=DIGITS).edges()
 
 
+def hashed_vector_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """Every hashed vector has length 1: the check of the ML stages in numbers."""
+    values = F.unwrap_udt("norm")["values"]
+    square = F.aggregate(values, F.lit(0.0), lambda total, value: total + value * value)
+    return hashed_norms(stored_items(spark, folder)).select(
+        "item_id", F.round(F.sqrt(square), DIGITS).alias("length")
+    )
+
+
+HASHED_LENGTHS_SQL = f"WITH {ITEMS_SQL} SELECT item_id, CAST(1.0 AS DOUBLE) AS length FROM items"
+
+
 def dense_pair_cosine(spark: SparkSession, folder: str) -> DataFrame:
     """Cosine of each embedding with the next one."""
     vectors = table(spark, folder, "embeddings")
@@ -318,6 +329,7 @@ QUERIES = {
     "top_k_stored_edges": (top_k_stored_edges, TOP_K_STORED_EDGES_SQL),
     "mirrored_edges": (mirrored_edges, f"WITH {PAIRS_SQL} SELECT * FROM both_ways"),
     "hashed_pairs": (hashed_pairs, None),
+    "hashed_vector_lengths": (hashed_vector_lengths, HASHED_LENGTHS_SQL),
     "dense_pair_cosine": (dense_pair_cosine, DENSE_PAIR_SQL),
     "dense_nearest": (dense_nearest, DENSE_NEAREST_SQL),
 }

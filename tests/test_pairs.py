@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinia.operators import neighbours, pairs
-from affinia.operators.features import build_vectors, hashed_norms, vectors_from_norms
+from affinia.operators.features import build_hashed_vectors, build_vectors
 from affinia.operators.neighbours import similar_items, top_k_neighbours, top_k_of_edges
 from affinia.operators.pairs import (
     build_index,
@@ -115,12 +115,6 @@ def test_pairs_are_exact(vectors, truth, threshold, frequent_rows):
     same(table(index.edges()), {k: s for k, s in truth.items() if s >= threshold})
 
 
-def test_pairs_through_the_shuffled_index(vectors, truth, monkeypatch):
-    monkeypatch.setattr(pairs, "BROADCAST_ROWS", 0)
-    index = build_index(vectors, 0.2, frequent_rows=12)
-    same(table(index.edges()), {k: s for k, s in truth.items() if s >= 0.2})
-
-
 def test_copies_spread_over_slots(vectors, truth, monkeypatch):
     monkeypatch.setattr(pairs, "COPIES_PER_SLOT", 4)
     monkeypatch.setattr(neighbours, "COPIES_PER_SLOT", 4)
@@ -218,8 +212,7 @@ def test_token_in_every_item_weighs_nothing(spark):
 
 
 def test_hashed_tokens_give_the_same_pairs(items, truth):
-    vectors = vectors_from_norms(hashed_norms(items))
-    found = table(build_index(vectors, 0.3).edges())
+    found = table(build_index(build_hashed_vectors(items), 0.3).edges())
     same(found, {k: s for k, s in truth.items() if s >= 0.3})
 
 
@@ -272,7 +265,6 @@ def test_pair_table_is_written_once(spark, items):
 
 def test_limit_of_usual_tokens_follows_the_cost(vectors, truth, monkeypatch):
     """The dearer scoring is, the more tokens are summed; results stay the same."""
-    monkeypatch.setattr(pairs, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(pairs, "CELL_ROWS", 3)
     chosen = []
     for cost in (0, 1, 1_000_000):
@@ -281,7 +273,7 @@ def test_limit_of_usual_tokens_follows_the_cost(vectors, truth, monkeypatch):
         chosen.append(pairs._plan_effort(vectors.vocabulary, reach, None))
         index = build_index(vectors, 0.25)
         same(table(index.edges()), {k: s for k, s in truth.items() if s >= 0.25})
-    assert chosen[0].rows <= chosen[1].rows < chosen[2].rows
+    assert chosen[0].meetings <= chosen[1].meetings < chosen[2].meetings
     assert chosen[0].any_frequent and not chosen[2].any_frequent
 
 
