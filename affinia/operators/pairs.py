@@ -191,7 +191,7 @@ def _usual_parts(
     """
     # Tasks follow the counted meetings: input bytes say nothing about rows that each
     # meet thousands of others.
-    least = int(vectors.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = vectors.frame.sparkSession.sparkContext.defaultParallelism
     def tasks(meetings_per_task: int) -> int:
         return max(least, min(MOST_TASKS, ceil(effort.meetings / meetings_per_task)))
 

@@ -100,11 +100,13 @@ def stored_items(spark: SparkSession, folder: str, **filters) -> DataFrame:
 
 
 def flat(frame: DataFrame) -> DataFrame:
-    """Arrays as joined text and decimals as doubles, for comparison."""
+    """Arrays and dates as text and decimals as doubles, for comparison."""
     columns = []
     for name, kind in frame.dtypes:
         if kind.startswith("array"):
             columns.append(F.array_join(name, "|").alias(name))
+        elif kind == "date":
+            columns.append(F.col(name).cast("string").alias(name))
         elif kind.startswith("decimal"):
             columns.append(F.col(name).cast("double").alias(name))
         else:
@@ -140,7 +142,8 @@ items AS (
     WHERE p_size IS NOT NULL AND p_name IS NOT NULL
 ),
 flat_items AS (
-    SELECT item_id, title, year, duration, array_to_string(genres, '|') AS genres,
+    SELECT item_id, title, CAST(year AS VARCHAR) AS year, duration,
+           array_to_string(genres, '|') AS genres,
            CAST(rating AS DOUBLE) AS rating, vote_count,
            array_to_string(persons, '|') AS persons
     FROM items

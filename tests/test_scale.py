@@ -28,6 +28,17 @@ def test_no_cross_join_and_no_python_in_plans(spark, name):
         assert word not in text
 
 
+@pytest.mark.parametrize("frequent_rows", [5, 4096])
+def test_pair_join_plan(spark, frequent_rows):
+    from affinia.operators.features import build_vectors
+    from affinia.operators.pairs import similar_vectors
+
+    vectors = build_vectors(bindings.stored_items(spark, SMALL))
+    text = plan(similar_vectors(vectors, 0.3, frequent_rows=frequent_rows))
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "Python"):
+        assert word not in text
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
     path = fresh_path(spark, "edges")
