@@ -38,6 +38,7 @@ THRESHOLD = 0.3
 DIGITS = 6
 ASKED = 42
 COPY_COLUMNS = ("title", "genres")
+COPY_THRESHOLD = 0.1
 
 WEIGHTS_SQL = f"""
 {ITEMS_SQL},
@@ -193,13 +194,14 @@ SELECT * FROM ranked WHERE position <= 10
 def top_k_among_copies(spark: SparkSession, folder: str) -> DataFrame:
     """Few distinct titles, so each vector stands for a large group of copies."""
     vectors = build_vectors(stored_items(spark, folder), COPY_COLUMNS)
-    return top_k_neighbours(build_index(vectors, THRESHOLD, digits=DIGITS), 10, threshold=THRESHOLD)
+    index = build_index(vectors, COPY_THRESHOLD, digits=DIGITS)
+    return top_k_neighbours(index, 40, threshold=COPY_THRESHOLD)
 
 
 def pairs_among_copies(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs per score where items are mostly copies; only the counts are written out."""
     found = similar_pairs(
-        stored_items(spark, folder), THRESHOLD, columns=COPY_COLUMNS, digits=DIGITS
+        stored_items(spark, folder), COPY_THRESHOLD, columns=COPY_COLUMNS, digits=DIGITS
     )
     return found.groupBy("similarity").agg(
         F.count("*").alias("n"),
@@ -212,8 +214,10 @@ COPIES_SQL = PAIRS_SQL.replace(
     """array_to_string(genres, ', '),
            CAST(rating AS VARCHAR), array_to_string(persons, ', '))""",
     "array_to_string(genres, ', '))",
+).replace(f">= {THRESHOLD}", f">= {COPY_THRESHOLD}")
+TOP_K_COPIES_SQL = TOP_K_SQL.replace(PAIRS_SQL, COPIES_SQL).replace(
+    "position <= 10", "position <= 40"
 )
-TOP_K_COPIES_SQL = TOP_K_SQL.replace(PAIRS_SQL, COPIES_SQL)
 PAIRS_COPIES_SQL = f"""
 WITH {COPIES_SQL}
 SELECT similarity, count(*) AS n, min(item_id) AS first_item, max(other_id) AS last_other
