@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from affinia.llm.common import table
 from affinia.llm.compression import quality_rules
+from affinia.llm.token_counts import LIMIT, token_counts
+
+
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether they pass the context length."""
+    counts = token_counts(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
 def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,6 +27,7 @@ def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_counts": op4_token_counts,
     "op10_compression_bands": op10_compression_bands,
 }
 
