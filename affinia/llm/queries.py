@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from affinia.llm.common import table
 from affinia.llm.compression import quality_rules
 from affinia.llm.token_counts import LIMIT, token_counts
+from affinia.llm.tree_bpe import digests, encode_documents, tokenizer_files
 
 
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +22,20 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def byte_bpe_files() -> tuple[str, str, str]:
+    return tokenizer_files(
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def op5_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the ids of every document and of the text they decode to."""
+    files = byte_bpe_files()
+    return digests(encode_documents(table(spark, folder, "documents"), files), files)
+
+
 def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     """Word measures, base verdict and compression verdict of every document."""
     return quality_rules(table(spark, folder, "documents"))
@@ -28,6 +43,7 @@ def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
+    "op5_tree_bpe": op5_tree_bpe,
     "op10_compression_bands": op10_compression_bands,
 }
 
