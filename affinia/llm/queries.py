@@ -8,10 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinia.llm.ans_files import read_ids, write_ids
 from affinia.llm.common import table
 from affinia.llm.compression import quality_rules
 from affinia.llm.token_counts import LIMIT, token_counts
 from affinia.llm.tree_bpe import digests, encode_documents, tokenizer_files
+from affinia.sources.workspace import fresh_path
+
+
+def op3_ans_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, length and checksum of every document, from the files written and read back."""
+    path = fresh_path(spark, "ids")
+    write_ids(
+        table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return read_ids(spark, path, with_ids=False)
 
 
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,6 +53,7 @@ def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_ans_files": op3_ans_files,
     "op4_token_counts": op4_token_counts,
     "op5_tree_bpe": op5_tree_bpe,
     "op10_compression_bands": op10_compression_bands,
