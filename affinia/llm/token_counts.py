@@ -37,9 +37,9 @@ STARTS = "array<struct<at:bigint,before:bigint>>"
 
 def pre_token_starts(encoding) -> list[tuple[int, int]]:
     """(offset, tokens before it) of every pre-token but the last, whose end may be cut."""
-    marks = encoding.word_ids
+    marks, offsets = encoding.word_ids, encoding.offsets
     found = [
-        (encoding.offsets[i][0], i)
+        (offsets[i][0], i)
         for i in range(len(marks))
         if marks[i] is None or i == 0 or marks[i] != marks[i - 1]
     ]
