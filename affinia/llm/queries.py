@@ -12,6 +12,7 @@ from affinia.llm.ans_files import read_ids, write_ids
 from affinia.llm.common import table
 from affinia.llm.compression import quality_rules
 from affinia.llm.token_counts import LIMIT, token_counts
+from affinia.llm.toxicity import fit, held_out, score_texts
 from affinia.llm.tree_bpe import digests, encode_documents, tokenizer_files
 from affinia.sources.workspace import fresh_path
 
@@ -47,6 +48,18 @@ def op5_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return digests(encode_documents(table(spark, folder, "documents"), files), files)
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document by a classifier fitted on the labels not held out."""
+    docs = table(spark, folder, "documents")
+    scored = score_texts(docs, fit(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     """Word measures, base verdict and compression verdict of every document."""
     return quality_rules(table(spark, folder, "documents"))
@@ -56,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ans_files": op3_ans_files,
     "op4_token_counts": op4_token_counts,
     "op5_tree_bpe": op5_tree_bpe,
+    "op8_toxicity": op8_toxicity,
     "op10_compression_bands": op10_compression_bands,
 }
 
