@@ -23,13 +23,21 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
+#: Rows that Python holds as objects at a time; Spark's own batches are larger.
+SLICE = 512
+
+
+def slices(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def map_texts(
     docs: DataFrame, work: Callable[[list, list], dict[str, list]], schema: str
 ) -> DataFrame:
     """Apply ``work(doc_ids, texts)`` to every Arrow batch; it returns columns by name.
 
-    ``work`` sees whole texts; a missing text stays ``None``. The batches are as
-    large as the session's Arrow settings say, one at a time in each task.
+    ``work`` sees whole texts, ``SLICE`` rows at a time; a missing text stays ``None``.
     """
     names = [part.split()[0] for part in schema.split(",")]
     types = {
@@ -41,8 +49,8 @@ def map_texts(
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = pa.schema(fields)
         for batch in stream:
-            if batch.num_rows:
-                made = work(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for part in slices(batch):
+                made = work(part.column(0).to_pylist(), part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made[n], type=arrow.field(n).type) for n in names], schema=arrow
                 )

@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 from affinia.llm.ans_files import read_ids, write_ids
 from affinia.llm.common import table
 from affinia.llm.compression import quality_rules
+from affinia.llm.ngram_join import similar_documents
 from affinia.llm.token_counts import LIMIT, token_counts
 from affinia.llm.toxicity import fit, held_out, score_texts
 from affinia.llm.tree_bpe import digests, encode_documents, tokenizer_files
 from affinia.sources.workspace import fresh_path
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingles of every document and the smallest document it is linked to."""
+    return similar_documents(table(spark, folder, "documents"))
+
+
 def op3_ans_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, length and checksum of every document, from the files written and read back."""
     path = fresh_path(spark, "ids")
@@ -66,6 +72,7 @@ def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_ans_files": op3_ans_files,
     "op4_token_counts": op4_token_counts,
     "op5_tree_bpe": op5_tree_bpe,

@@ -30,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinia.llm.common import keyed_texts, map_texts
+from affinia.llm.common import keyed_texts, map_texts, slices
 from affinia.llm.words import load, specification
 
 LEAF = 16_384
@@ -244,7 +244,7 @@ def decode_documents(encoded: DataFrame, files: tuple[str, str, str]) -> DataFra
 
     def decode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(files)
-        for batch in stream:
+        for batch in (part for whole in stream for part in slices(whole)):
             found = [codec.decode(np.frombuffer(d, "<u4").tolist()) for d in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.string())], ["doc_id", "text"]
@@ -258,7 +258,7 @@ def digests(encoded: DataFrame, files: tuple[str, str, str]) -> DataFrame:
 
     def digest(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(files)
-        for batch in stream:
+        for batch in (part for whole in stream for part in slices(whole)):
             counts, of_ids, of_text = [], [], []
             for data in batch.column(1).to_pylist():
                 ids = np.frombuffer(data, "<u4").tolist()
