@@ -15,9 +15,9 @@ states and its place in the words are kept every CHECK_STEPS steps, so the parts
 a block between checkpoints can be decoded independently; a checksum guards each
 block's payload and its ids.
 
-Frequencies are counted over all documents in a first pass; the second pass orders
-the texts by range partitioning and codes each part in one stream of rows. A task
-holds one batch of texts and one block.
+A first pass encodes all documents, writes their ids to the work area and counts them
+there; a second orders them by range partitioning and codes each part in one stream of
+rows. A task holds one batch of documents and one block.
 """
 
 from __future__ import annotations
@@ -31,12 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from affinia.llm.common import keyed_texts
+from affinia.llm.common import map_texts, slices
 from affinia.llm.words import load, specification, word_ids
+from affinia.sources.workspace import fresh_path
 
 SCALE = 20
 LOWEST = np.uint64(1 << 31)
-LANES = 1024
+LANES = 2048
 CHECK_STEPS = 256
 BLOCK_TOKENS = 1 << 19
 
@@ -121,30 +122,30 @@ class Coder:
         return made
 
 
-def _ended(packed: bytes, kind: np.dtype, end_id: int) -> np.ndarray:
-    return np.append(np.frombuffer(packed, kind), kind.type(end_id))
+def packed_documents(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
+    """doc_id and ids (little-endian, as wide as the vocabulary needs) of every text."""
 
+    def work(ids: list, texts: list) -> dict[str, list]:
+        memo = word_ids(spec)
+        end = np.array([end_id], memo.kind).tobytes()
+        return {"doc_id": ids, "ids": [p + end for p in memo.packed([(t or "").encode() for t in texts])]}
+
+    return map_texts(docs, work, "doc_id long, ids binary")
 
-def count_tokens(docs: DataFrame, spec: str, end_id: int) -> DataFrame:
-    """token, count over all documents with their end ids; one row per token and task."""
-    size = load(spec).get_vocab_size()
+
+def count_tokens(packed: DataFrame, size: int, kind: str) -> DataFrame:
+    """token, count over all documents; a task sends one row per token at most."""
 
     def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, total = word_ids(spec), np.zeros(size, np.int64)
-        for batch in stream:
-            for packed in memo.packed([(t or "").encode() for t in batch.column(0).to_pylist()]):
-                ids = np.frombuffer(packed, memo.kind)
-                if len(ids) > size:
-                    total += np.bincount(ids, minlength=size)
-                else:
-                    np.add.at(total, ids, 1)
-                total[end_id] += 1
+        total = np.zeros(size, np.int64)
+        for batch in (part for whole in stream for part in slices(whole)):
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["token", "count"]
         )
 
-    counted = keyed_texts(docs).select("text").mapInArrow(count, "token int, count long")
+    counted = packed.select("ids").mapInArrow(count, "token int, count long")
     return counted.groupBy("token").agg(F.sum("count").alias("count"))
 
 
@@ -152,23 +153,27 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> N
     """Write the ids of every text, each followed by ``end_id``, in ascending doc_id order.
 
     A missing or empty text is its end id alone. Rows without a doc_id come first,
-    rows of one doc_id in the order of their texts. An empty table writes no block;
+    rows of one doc_id in the order of their ids. An empty table writes no block;
     other columns are not looked at.
     """
     spec = specification(tokenizer_path)
     size = load(spec).get_vocab_size()
+    kind = "<u2" if size <= 1 << 16 else "<u4"
+    spark = docs.sparkSession
+    place = fresh_path(spark, "packed")
+    packed_documents(docs, spec, end_id).write.option("compression", "zstd").parquet(place)
+    packed = spark.read.schema("doc_id long, ids binary").parquet(place)
     counts = np.zeros(size, np.int64)
-    for row in count_tokens(docs, spec, end_id).collect():  # one row per token of the vocabulary
+    for row in count_tokens(packed, size, kind).collect():  # one row per token of the vocabulary
         counts[row["token"]] = row["count"]
     frequencies = quantised(counts)
-    spark = docs.sparkSession
     table = [(int(t), int(frequencies[t])) for t in np.flatnonzero(frequencies)]
     spark.createDataFrame(table, "token int, frequency int").coalesce(1).write.parquet(
         f"{path}/frequencies"
     )
 
     def code(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, coder = word_ids(spec), Coder(frequencies)
+        coder = Coder(frequencies)
         part = TaskContext.get().partitionId()
         block, first = 0, 0
         ids, parts, held = [], [], 0
@@ -185,22 +190,19 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -> N
             }
             return pa.RecordBatch.from_pylist([row], schema=block_schema())
 
-        for batch in stream:
-            texts = batch.column(1).to_pylist()
-            for k in range(0, len(texts), 256):
-                packed = memo.packed([(t or "").encode() for t in texts[k : k + 256]])
-                for doc_id, data in zip(batch.column(0)[k : k + 256].to_pylist(), packed, strict=True):
-                    ids.append(doc_id)
-                    parts.append(_ended(data, memo.kind, end_id))
-                    held += len(parts[-1])
-                    if held >= BLOCK_TOKENS:
-                        yield close()
-                        block, first = block + 1, first + held
-                        ids, parts, held = [], [], 0
+        for batch in (part for whole in stream for part in slices(whole)):
+            for doc_id, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids.append(doc_id)
+                parts.append(np.frombuffer(data, kind))
+                held += len(parts[-1])
+                if held >= BLOCK_TOKENS:
+                    yield close()
+                    block, first = block + 1, first + held
+                    ids, parts, held = [], [], 0
         if parts:
             yield close()
 
-    ordered = keyed_texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = packed.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(code, BLOCKS).write.parquet(f"{path}/blocks")
 
 
