@@ -35,15 +35,15 @@ PIECES = "doc_id long, mark string, n_bytes long, place long, last boolean, star
 STARTS = "array<struct<at:bigint,before:bigint>>"
 
 
-def pre_token_starts(encoding) -> list[tuple[int, int]]:
-    """(offset, tokens before it) of every pre-token but the last, whose end may be cut."""
+def pre_token_starts(encoding, whole: bool) -> list[tuple[int, int]]:
+    """(offset, tokens before it) of every pre-token, without the last where text goes on."""
     marks, offsets = encoding.word_ids, encoding.offsets
     found = [
         (offsets[i][0], i)
         for i in range(len(marks))
         if marks[i] is None or i == 0 or marks[i] != marks[i - 1]
     ]
-    return found[:-1]
+    return found if whole else found[:-1]
 
 
 def splice(pieces: list[dict]) -> int | None:
@@ -70,9 +70,11 @@ def _cut(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
         for batch in stream:
             for doc_id, text, mark in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 size = len(text.encode())
+                # A piece whose overlap reaches the end is the last.
+                starts = range(0, max(1, len(text) - overlap), chunk)
                 rows = [
-                    (doc_id, mark, size, k, s + chunk >= len(text), s, text[s : s + chunk + overlap])
-                    for k, s in enumerate(range(0, len(text), chunk))
+                    (doc_id, mark, size, k, s == starts[-1], s, text[s : s + chunk + overlap])
+                    for k, s in enumerate(starts)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=t.type) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)],
@@ -94,7 +96,7 @@ def _encode(pieces: DataFrame, spec: str, chunk: int, overlap: int) -> DataFrame
             counts, heads, tails = [], [], []
             for row in batch.to_pylist():
                 made = tokenizer.encode(row["body"], add_special_tokens=False)
-                starts = [(row["start"] + at, before) for at, before in pre_token_starts(made)]
+                starts = [(row["start"] + at, before) for at, before in pre_token_starts(made, row["last"])]
                 end = row["start"] + chunk
                 counts.append(len(made.ids))
                 heads.append(
