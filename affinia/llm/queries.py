@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from affinia.llm.ans_files import read_ids, write_ids
 from affinia.llm.common import table
 from affinia.llm.compression import quality_rules
+from affinia.llm.decontamination import contaminated_documents
+from affinia.llm.line_dedup import line_report
 from affinia.llm.ngram_join import similar_documents
 from affinia.llm.token_counts import LIMIT, token_counts
 from affinia.llm.toxicity import fit, held_out, score_texts
@@ -54,6 +56,18 @@ def op5_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return digests(encode_documents(table(spark, folder, "documents"), files), files)
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document, and the places of those that another line stands for."""
+    return line_report(table(spark, folder, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the benchmark items they hold."""
+    return contaminated_documents(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document by a classifier fitted on the labels not held out."""
     docs = table(spark, folder, "documents")
@@ -76,6 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ans_files": op3_ans_files,
     "op4_token_counts": op4_token_counts,
     "op5_tree_bpe": op5_tree_bpe,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
     "op10_compression_bands": op10_compression_bands,
 }
