@@ -12,6 +12,7 @@ from affinia.llm.ans_files import read_ids, write_ids
 from affinia.llm.common import table
 from affinia.llm.compression import quality_rules
 from affinia.llm.decontamination import contaminated_documents
+from affinia.llm.identifiers import span_report
 from affinia.llm.line_dedup import line_report
 from affinia.llm.ngram_join import similar_documents
 from affinia.llm.token_counts import LIMIT, token_counts
@@ -80,6 +81,11 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_identifiers(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return span_report(table(spark, folder, "documents"))
+
+
 def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     """Word measures, base verdict and compression verdict of every document."""
     return quality_rules(table(spark, folder, "documents"))
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
+    "op9_identifiers": op9_identifiers,
     "op10_compression_bands": op10_compression_bands,
 }
 
