@@ -18,6 +18,7 @@ from affinia.llm.ngram_join import similar_documents
 from affinia.llm.token_counts import LIMIT, token_counts
 from affinia.llm.toxicity import fit, held_out, score_texts
 from affinia.llm.tree_bpe import digests, encode_documents, tokenizer_files
+from affinia.llm.weak_labels import quality
 from affinia.sources.workspace import fresh_path
 
 
@@ -26,6 +27,11 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(table(spark, folder, "documents"))
 
 
+def op2_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Votes, posterior, score and verdict of every document."""
+    return quality(table(spark, folder, "documents"))
+
+
 def op3_ans_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, length and checksum of every document, from the files written and read back."""
     path = fresh_path(spark, "ids")
@@ -93,6 +99,7 @@ def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_weak_labels": op2_weak_labels,
     "op3_ans_files": op3_ans_files,
     "op4_token_counts": op4_token_counts,
     "op5_tree_bpe": op5_tree_bpe,
