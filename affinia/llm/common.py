@@ -56,3 +56,24 @@ def map_texts(
                 )
 
     return keyed_texts(docs).mapInArrow(batches, schema)
+
+
+#: Pieces of the bitmap of ``perhaps_among``; each has 32,768 bits in 4 KB.
+BITMAPS = 1024
+
+
+def perhaps_among(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` (a fingerprint) is not in ``wanted``.
+
+    A bitmap of BITMAPS * 4 KB, whatever the size of the data, is broadcast, so the rows
+    are spared a shuffle; a join with ``wanted`` has to decide on what is left. Uses
+    DataFrame functions only. Rows without a key are left out.
+    """
+    slots = BITMAPS * 32_768
+    piece = F.expr(f"pmod({key}, {BITMAPS})").alias("piece_")
+    bit = F.expr(f"bitmap_bit_position(pmod({key}, {slots}) div {BITMAPS} + 1)").alias("bit_")
+    bitmaps = wanted.select(piece, bit).groupBy("piece_").agg(F.expr("bitmap_construct_agg(bit_)").alias("bits_"))
+    at = F.expr(f"pmod({key}, {slots}) div {BITMAPS}").alias("at_")
+    held = "cast(conv(hex(substring(bits_, cast(at_ div 8 as int) + 1, 1)), 16, 10) as bigint)"
+    met = rows.select("*", piece, at).join(F.broadcast(bitmaps), "piece_")
+    return met.where(F.expr(f"(shiftright({held}, cast(at_ % 8 as int)) & 1) = 1")).select(rows.columns)
