@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinia.llm.common import perhaps_among
 from affinia.sources.workspace import staged
 
 WIDTH = 5
@@ -137,15 +138,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARI
     """
     empty = "version long, item_id long, similarity double, start int"
     items = staged(_items(benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).distinct()), "items")
-    texts = docs.where("text is not null").select(
-        F.xxhash64(F.col("text").cast("string")).alias("version"), word_hashes(F.col("text").cast("string")).alias("words")
-    )
-    hits = _hits(texts, items)
+    texts = docs.where("text is not null").select(F.col("text").cast("string"))
+    texts = texts.select(F.xxhash64("text").alias("version"), "text")
+    hits = _hits(texts.select("version", word_hashes(F.col("text")).alias("words")), items)
     if hits is None:
         return docs.sparkSession.createDataFrame([], empty)
     hits = staged(hits, "hits")
     starts = hits.groupBy("version").agg(F.collect_set(F.struct("start", "length", "width")).alias("asked"))
-    held = texts.join(starts, "version").dropDuplicates(["version"])
+    held = perhaps_among(texts, hits, "version").groupBy("version").agg(F.min("text").alias("text"))
+    held = held.join(starts, "version").select("version", "asked", word_hashes(F.col("text")).alias("words"))
     cut = held.select("version", "words", F.explode("asked").alias("asked")).select(
         "version", "asked.*", F.expr("slice(words, asked.start + 1, asked.length)").alias("part")
     )
