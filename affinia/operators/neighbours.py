@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.functions.vectors import dense_cosine, dense_literal
-from affinia.operators.pairs import COPIES_PER_SLOT, SimilarityIndex, best_links
+from affinia.operators.features import Vectors
+from affinia.operators.pairs import (
+    COPIES_PER_SLOT,
+    DIGITS,
+    LEAST,
+    SimilarityIndex,
+    best_links,
+    score_item,
+)
 
 BEST = 10
 THRESHOLD = 0.1
@@ -23,6 +31,16 @@ def mirrored(edges: DataFrame) -> DataFrame:
     )
 
 
+def least_similarity(edges: DataFrame) -> float | None:
+    """The threshold a pair table was found with; None for a table that does not say."""
+    return edges.schema["similarity"].metadata.get(LEAST)
+
+
+def _check_threshold(asked: float, least: float | None) -> None:
+    if least is not None and asked < least:
+        raise ValueError(f"pairs are stored from {least} up, so {asked} would miss some")
+
+
 def edges_of(edges: DataFrame, item_id: int, *, direction: str = "both") -> DataFrame:
     """(other_id, similarity) of one item.
 
@@ -44,24 +62,44 @@ def edges_of(edges: DataFrame, item_id: int, *, direction: str = "both") -> Data
 
 def similar_items(
     items: DataFrame,
-    edges: DataFrame,
+    edges: DataFrame | None,
     item_id: int,
     *,
     threshold: float = THRESHOLD,
     k: int | None = BEST,
     direction: str = "both",
     how: str = "inner",
+    vectors: Vectors | None = None,
+    digits: int = DIGITS,
 ) -> DataFrame:
     """The items most similar to one item, with their score, best first.
 
     No row means: the id is unknown, or nothing reaches the threshold. ``k=None``
     gives all. ``how="left"`` keeps neighbours that are missing from ``items``.
-    Edges hold no zero scores, so a threshold of 0 takes the other items from
-    ``items``. Equal scores go by id. No side is broadcast by hint: adaptive
-    execution does so where the edges of the item turn out small.
+    A threshold of 0, or below the one the edges were found with, needs
+    ``vectors``: the item is then scored against all others, and at 0 the items
+    that share nothing with it follow with a score of 0. Without vectors it raises;
+    with vectors there need be no edges at all. ``digits`` rounds scores from vectors.
+    Equal scores go by id. Edges are not broadcast by hint: adaptive execution
+    does so where the edges of the item turn out small.
     """
-    near = edges_of(edges, item_id, direction=direction)
+    if direction not in ("both", "stored"):
+        raise ValueError(f"direction must be 'both' or 'stored', not {direction!r}")
     columns = [name for name in items.columns if name != "similarity"]
+    wanted = F.lit(item_id)
+    least = None if edges is None else least_similarity(edges)
+    if edges is None or threshold <= 0 or (least is not None and threshold < least):
+        if vectors is None:
+            if threshold <= 0:
+                raise ValueError("a threshold of 0 needs vectors: edges hold no zero scores")
+            if edges is None:
+                raise ValueError("give edges, vectors or both")
+            _check_threshold(threshold, least)
+        near = score_item(vectors, item_id, digits=digits)
+        if direction == "stored":
+            near = near.where(F.col("other_id") > wanted)
+    else:
+        near = edges_of(edges, item_id, direction=direction)
     if threshold > 0:
         near = near.where(F.col("similarity") >= F.lit(float(threshold)))
         if how == "left" and k is not None:
@@ -70,17 +108,11 @@ def similar_items(
             items.select(*columns), F.col("other_id") == F.col("item_id"), how
         )
     else:
-        wanted = F.lit(item_id)
-        if items.where(F.col("item_id") == wanted).isEmpty():
-            return items.select(
-                F.lit(0.0).alias("similarity"), F.col("item_id").alias("other_id"), *columns
-            ).where(F.lit(False))
-        others = F.col("item_id") != wanted
-        if direction == "stored":
-            others = F.col("item_id") > wanted
+        known = items.where(F.col("item_id") == wanted).select("item_id")
+        others = F.col("item_id") > wanted if direction == "stored" else F.col("item_id") != wanted
         found = (
             items.select(*columns)
-            .where(others)
+            .where(others & known.exists())
             .join(near, F.col("item_id") == F.col("other_id"), "left")
             .withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
             .withColumn("other_id", F.col("item_id"))
@@ -94,7 +126,11 @@ def similar_items(
 def top_k_of_edges(
     edges: DataFrame, k: int = BEST, *, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """(item_id, position, other_id, similarity): the k best of every item, from an edge table."""
+    """(item_id, position, other_id, similarity): the k best of every item, from an edge table.
+
+    A threshold below the one the edges were found with raises an error.
+    """
+    _check_threshold(threshold, least_similarity(edges))
     links = edges.where(F.col("similarity") >= F.lit(float(threshold))).toDF(
         *[{"item_id": "vector_id", "other_id": "other_vector"}.get(c, c) for c in edges.columns]
     )
@@ -113,8 +149,9 @@ def top_k_neighbours(
 
     Vectors are ranked by score and then by their lowest item, so the first k + 1
     vectors, each with its k + 1 lowest items, hold the k best items of each item
-    even after it has dropped itself.
+    even after it has dropped itself. A threshold below that of the index raises.
     """
+    _check_threshold(threshold, index.threshold)
     links = index.links.where(F.col("similarity") >= F.lit(float(threshold)))
     if index.members is None:
         return top_k_of_edges(

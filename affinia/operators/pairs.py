@@ -46,13 +46,13 @@ SCORING_COST = 25
 CELL_ROWS = 4096
 # Remaining-length bands of a frequent token.
 BANDS = 8
-# Meetings per task while lists are sent and while pairs are summed, and the most
-# tasks asked for.
+# Meetings per task while lists are sent and while pairs are summed.
 MEETINGS_PER_LIST_TASK = 5_000_000
 MEETINGS_PER_TASK = 300_000
-MOST_TASKS = 20_000
 # Copies per slot when copies are written out.
 COPIES_PER_SLOT = 10_000
+# Key of the score column's metadata: the threshold that the pairs were found with.
+LEAST = "least_similarity"
 
 
 @dataclass(frozen=True)
@@ -71,14 +71,17 @@ class SimilarityIndex:
     def edges(self) -> DataFrame:
         """(item_id, other_id, similarity) with item_id < other_id, for every pair.
 
-        Lazy: a filter on an id reaches the members before they are joined.
+        Lazy: a filter on an id reaches the members before they are joined. The
+        threshold goes with the score column, into stored tables too.
         """
         if self.members is None:
-            return self.links.select(
+            found = self.links.select(
                 F.col("vector_id").alias("item_id"), F.col("other_vector").alias("other_id"),
                 "similarity",
             )
-        return _write_out_copies(self.links, self.members)
+        else:
+            found = _write_out_copies(self.links, self.members)
+        return found.withMetadata("similarity", {LEAST: self.threshold})
 
 
 def _slack(digits: int) -> float:
@@ -193,7 +196,7 @@ def _usual_parts(
     # meet thousands of others.
     least = vectors.frame.sparkSession.sparkContext.defaultParallelism
     def tasks(meetings_per_task: int) -> int:
-        return max(least, min(MOST_TASKS, ceil(effort.meetings / meetings_per_task)))
+        return max(least, ceil(effort.meetings / meetings_per_task))
 
     values = ["weight"]
     postings = _postings(vectors).where(
@@ -424,6 +427,40 @@ def score_pairs(vectors: Vectors, pairs: DataFrame, *, digits: int = DIGITS) ->
     )
 
 
+def score_item(vectors: Vectors, item_id: int, *, digits: int = DIGITS) -> DataFrame:
+    """(other_id, similarity) of one item with every item that shares a token with it.
+
+    The tokens of one item meet the postings of all vectors: one pass over the
+    vectors, no pair table. The side sent to every task is one item's tokens.
+    """
+    wanted = F.lit(item_id)
+    frame = vectors.frame
+    if vectors.members is None:
+        own = frame.where(F.col("vector_id") == wanted)
+    else:
+        own = vectors.members.where(F.col("item_id") == wanted).join(
+            frame.drop("copies"), "vector_id"
+        )
+    asked = own.select(F.inline("entries")).select("token_id", F.col("weight").alias("asked"))
+    score = F.round(F.sum(F.col("weight") * F.col("asked")), digits).alias("similarity")
+    scored = _postings(vectors).join(F.broadcast(asked), "token_id").groupBy("vector_id").agg(score)
+    if vectors.members is None:
+        found = scored.withColumnRenamed("vector_id", "other_id")
+    else:
+        # As in ``_write_out_copies``, a large group of copies is met in slots.
+        slots = _slots(F.col("copies"))
+        heads = vectors.members.where("item_id = vector_id").select("vector_id", "copies")
+        spread = scored.join(heads, "vector_id").select(
+            "vector_id", "similarity", F.explode(F.sequence(F.lit(0), slots - 1)).alias("slot")
+        )
+        found = vectors.members.select(
+            F.col("item_id").alias("other_id"),
+            "vector_id",
+            F.pmod(F.xxhash64("item_id"), slots).cast("int").alias("slot"),
+        ).join(spread, ["vector_id", "slot"])
+    return found.where(F.col("other_id") != wanted).select("other_id", "similarity")
+
+
 def build_index(
     vectors: Vectors,
     threshold: float,

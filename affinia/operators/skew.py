@@ -33,9 +33,6 @@ def join_counted(
     """
     floor = total * hot_share
     hot = dictionary.where(F.col(count_column) >= F.lit(floor))
-    if floor <= 1:
-        # Then every key counts as hot; that holds only for up to 1 / hot_share rows.
-        return rows.join(F.broadcast(hot), key)
     cold = dictionary.where(F.col(count_column) < F.lit(floor))
     hot_keys = F.broadcast(hot.select(key))
     return rows.join(F.broadcast(hot), key).unionByName(

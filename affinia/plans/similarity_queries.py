@@ -76,6 +76,15 @@ both_ways AS (
 """
 
 
+def _scores_of_one(spark: SparkSession, folder: str) -> DataFrame:
+    """Item 42 against every other item, from the vectors: true scores at threshold 0."""
+    items = stored_items(spark, folder)
+    found = similar_items(
+        items, None, ASKED, threshold=0, k=None, vectors=build_vectors(items), digits=DIGITS
+    )
+    return flat(found)
+
+
 def _index(spark: SparkSession, folder: str) -> tuple[DataFrame, SimilarityIndex]:
     items = stored_items(spark, folder)
     return items, build_index(build_vectors(items), THRESHOLD, digits=DIGITS)
@@ -127,6 +136,12 @@ def pairs_query(spark: SparkSession, folder: str) -> DataFrame:
 PAIRS_QUERY_SQL = f"WITH {PAIRS_SQL} SELECT * FROM edges"
 
 
+def pairs_by_frequent_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with most tokens treated as frequent."""
+    items = stored_items(spark, folder)
+    return similar_pairs(items, THRESHOLD, digits=DIGITS, frequent_rows=64)
+
+
 def pair_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The score of each item with the next two items, zeros included."""
     items = stored_items(spark, folder)
@@ -156,6 +171,25 @@ def _similar(**options):
     return run
 
 
+def similar_items_left(spark: SparkSession, folder: str) -> DataFrame:
+    """A neighbour that is missing from the items keeps its row."""
+    items, index = _index(spark, folder)
+    some = items.where("item_id % 3 <> 0")
+    return flat(similar_items(some, index.edges(), ASKED, threshold=THRESHOLD, how="left"))
+
+
+SIMILAR_LEFT_SQL = f"""
+WITH {PAIRS_SQL},
+near AS (
+    SELECT other_id, similarity FROM both_ways WHERE item_id = {ASKED}
+    ORDER BY similarity DESC, other_id LIMIT 10
+)
+SELECT similarity, other_id, kept.*
+FROM near LEFT JOIN (SELECT * FROM flat_items WHERE item_id % 3 <> 0) kept
+     ON kept.item_id = other_id
+"""
+
+
 def _similar_sql(source: str, limit: str) -> str:
     return f"""
 WITH {PAIRS_SQL}
@@ -167,10 +201,11 @@ ORDER BY similarity DESC, other_id {limit}
 
 
 SIMILAR_ZERO_SQL = f"""
-WITH {PAIRS_SQL}
-SELECT coalesce(similarity, 0) AS similarity, flat_items.item_id AS other_id, flat_items.*
+WITH {WEIGHTS_SQL}
+SELECT coalesce(near.score, 0) AS similarity, flat_items.item_id AS other_id, flat_items.*
 FROM flat_items
-LEFT JOIN (SELECT other_id, similarity FROM both_ways WHERE item_id = {ASKED}) near
+LEFT JOIN (SELECT b.item_id AS other_id, round(sum(a.u * b.u), {DIGITS}) AS score
+           FROM units a JOIN units b USING (token) WHERE a.item_id = {ASKED} GROUP BY ALL) near
      ON near.other_id = flat_items.item_id
 WHERE flat_items.item_id <> {ASKED}
 """
@@ -309,6 +344,7 @@ QUERIES = {
     "token_idf": (token_idf, TOKEN_IDF_SQL),
     "token_unit_weights": (token_unit_weights, TOKEN_UNIT_WEIGHTS_SQL),
     "similar_pairs": (pairs_query, PAIRS_QUERY_SQL),
+    "pairs_by_frequent_tokens": (pairs_by_frequent_tokens, PAIRS_QUERY_SQL),
     "pair_scores": (pair_scores, PAIR_SCORES_SQL),
     "similar_items_both": (
         _similar(threshold=THRESHOLD),
@@ -318,21 +354,18 @@ QUERIES = {
         _similar(threshold=THRESHOLD, direction="stored"),
         _similar_sql("edges", "LIMIT 10"),
     ),
-    "similar_items_left": (
-        _similar(threshold=THRESHOLD, how="left"),
-        _similar_sql("both_ways", "LIMIT 10"),
-    ),
+    "similar_items_left": (similar_items_left, SIMILAR_LEFT_SQL),
     "similar_items_all": (
         _similar(threshold=THRESHOLD, k=None),
         _similar_sql("both_ways", ""),
     ),
-    "similar_items_zero": (_similar(threshold=0, k=None), SIMILAR_ZERO_SQL),
+    "similar_items_zero": (_scores_of_one, SIMILAR_ZERO_SQL),
     "top_k_neighbours": (top_k, TOP_K_SQL),
     "top_k_among_copies": (top_k_among_copies, TOP_K_COPIES_SQL),
     "pairs_among_copies": (pairs_among_copies, PAIRS_COPIES_SQL),
     "top_k_stored_edges": (top_k_stored_edges, TOP_K_STORED_EDGES_SQL),
     "mirrored_edges": (mirrored_edges, f"WITH {PAIRS_SQL} SELECT * FROM both_ways"),
-    "hashed_pairs": (hashed_pairs, None),
+    "hashed_pairs": (hashed_pairs, PAIRS_QUERY_SQL),
     "hashed_vector_lengths": (hashed_vector_lengths, HASHED_LENGTHS_SQL),
     "dense_pair_cosine": (dense_pair_cosine, DENSE_PAIR_SQL),
     "dense_nearest": (dense_nearest, DENSE_NEAREST_SQL),

@@ -262,13 +262,13 @@ SELECT *, TRUE AS first_written, FALSE AS second_written, TRUE AS present FROM n
 
 def schema_columns(spark: SparkSession, folder: str) -> DataFrame:
     name = _table_name("lines")
-    create_table(table(spark, folder, "lineitem"), name, path=fresh_path(spark, name))
+    table(spark, folder, "lineitem").createOrReplaceTempView(name)
     return column_names(spark, name).select("column_name")
 
 
 def schema_distinct_columns(spark: SparkSession, folder: str) -> DataFrame:
     name = _table_name("parts")
-    create_table(table(spark, folder, "part"), name, path=fresh_path(spark, name))
+    table(spark, folder, "part").createOrReplaceTempView(name)
     return distinct_column_names(spark, name)
 
 

@@ -239,13 +239,34 @@ def test_best_ten_with_ties_by_id(items, edges, truth):
     assert [r["other_id"] for r in found.collect()] == [other for _, other in near]
 
 
-def test_threshold_zero_lists_every_other_item(items, edges):
-    found = similar_items(items, edges, 1, threshold=0, k=None)
-    assert found.count() == 59
-    assert similar_items(items, edges, 999, threshold=0).isEmpty()
+def test_threshold_zero_lists_every_other_item(items, edges, vectors, truth):
+    found = similar_items(items, edges, 1, threshold=0, k=None, vectors=vectors).collect()
+    scores = {b if a == 1 else a: s for (a, b), s in truth.items() if 1 in (a, b)}
+    assert len(found) == 59
+    assert all(abs(r["similarity"] - scores.get(r["other_id"], 0.0)) < 1e-6 for r in found)
+    assert similar_items(items, edges, 999, threshold=0, vectors=vectors).isEmpty()
+    with pytest.raises(ValueError):
+        similar_items(items, edges, 1, threshold=0)
     assert similar_items(items, edges, 999).isEmpty()
 
 
+def test_lower_thresholds_than_stored_are_refused_or_scored(spark, vectors, items, truth):
+    index = build_index(vectors, 0.5)
+    path = fresh_path(spark, "edges")
+    index.edges().write.parquet(path)
+    stored = spark.read.parquet(path)
+    for call in (
+        lambda: similar_items(items, stored, 3, threshold=0.2),
+        lambda: top_k_of_edges(stored, 3, threshold=0.2),
+        lambda: top_k_neighbours(index, 3, threshold=0.2),
+    ):
+        with pytest.raises(ValueError):
+            call()
+    found = similar_items(items, stored, 3, threshold=0.2, k=None, vectors=vectors).collect()
+    near = {b if a == 3 else a for (a, b), s in truth.items() if 3 in (a, b) and s >= 0.2}
+    assert {r["other_id"] for r in found} == near
+
+
 def test_left_join_keeps_unknown_neighbours(items, edges):
     some = items.where("item_id % 2 = 1")
     inner = similar_items(some, edges, 3, k=None).count()
