@@ -206,6 +206,36 @@ def test_leaks_are_those_of_brute_force(frame, odd, bench):
     assert kept == sorted((i or -1) for i, _ in rows if i not in gone)
 
 
+def weighted_similarity(window, item, weights):
+    x, y = word_set(window), word_set(item)
+    total = lambda grams: sum(weights.get(g, 1.0) for g in grams)
+    return total(x & y) / total(x | y)
+
+
+def test_edited_passages_of_items_with_a_near_copy(spark, frame):
+    draw = random.Random(21)
+    items, rows = [], []
+    for k in range(60):
+        words = [f"{draw.choice(WORDS)}{k}" for _ in range(60)]
+        items += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:-1], "other"]))]
+        words[draw.randrange(5, 50)] = "changed"
+        rows.append((k, " ".join(["before", *words, "after"])))
+    held = Counter(g for _, text in items for g in word_set(text))
+    weights = {g: 1 / n for g, n in held.items()}
+    expected = set()
+    for k, text in rows:
+        words = text.split()
+        for i, item in items[2 * k : 2 * k + 2]:
+            best = max(weighted_similarity(" ".join(words[at : at + 60]), item, weights) for at in range(3))
+            if best >= 0.75:
+                expected.add((k, i))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated_documents(frame(rows), table).collect()}
+    assert len(expected) >= 60
+    assert got <= expected
+    assert len(got) >= 0.97 * len(expected)
+
+
 def test_leaks_of_empty_tables(spark, frame, bench):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contaminated_documents(frame([]), bench[1]).collect() == []
