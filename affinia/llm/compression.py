@@ -1,6 +1,8 @@
 """Quality rules by compression bands.
 
-A document is compressed as a whole and in fixed chunks. Its ratio (compressed
+A document is compressed as a whole and in fixed chunks; what is left after the last
+full one is judged by a chunk of full size that ends with the text, and a text shorter
+than a chunk is one chunk with the band of its length. Its ratio (compressed
 bytes by raw bytes) must lie in a band that depends on its length: below the band
 the text repeats itself, above it the text is noise that no model of language
 shortens. Word rules that cost nothing are measured in the same pass.
@@ -33,7 +35,7 @@ BANDS = (
     (2048, 0.33, 0.80),
     (16384, 0.28, 0.74),
 )
-# Band of one full chunk, and the share of full chunks outside it that rejects.
+# Band of one chunk of full size, and the share of bytes in chunks outside it that rejects.
 CHUNK_BAND = (0.25, 0.78)
 BAD_CHUNKS = 0.25
 
@@ -83,20 +85,27 @@ def repeated_lines(text: str) -> int:
 
 
 def band_verdict(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float, int, int, int, bool]:
-    """Ratio, chunks below and above their band, full chunks, and whether all holds."""
+    """Ratio, chunks below and above their band, chunks, and whether all holds.
+
+    The last chunk reaches back into the one before it, but weighs only its new bytes.
+    """
     if not data:
         return 0.0, 0, 0, 0, False
-    ratio = len(compressor.compress(data)) / len(data)
-    _, least, most = BANDS[bisect_right([b[0] for b in BANDS], len(data)) - 1]
-    full = len(data) // CHUNK_BYTES
-    low = high = 0
-    for k in range(full):
-        chunk = data[k * CHUNK_BYTES : (k + 1) * CHUNK_BYTES]
-        part = len(compressor.compress(chunk)) / CHUNK_BYTES
+    size = len(data)
+    ratio = len(compressor.compress(data)) / size
+    _, least, most = BANDS[bisect_right([b[0] for b in BANDS], size) - 1]
+    if size < CHUNK_BYTES:
+        return ratio, int(ratio < least), int(ratio > most), 1, least <= ratio <= most
+    low = high = bad = count = 0
+    for start in range(0, size, CHUNK_BYTES):
+        end = min(start + CHUNK_BYTES, size)
+        part = len(compressor.compress(data[end - CHUNK_BYTES : end])) / CHUNK_BYTES
         low += part < CHUNK_BAND[0]
         high += part > CHUNK_BAND[1]
-    good = least <= ratio <= most and (low + high) <= BAD_CHUNKS * full
-    return ratio, low, high, full, good
+        bad += 0 if CHUNK_BAND[0] <= part <= CHUNK_BAND[1] else end - start
+        count += 1
+    good = least <= ratio <= most and bad <= BAD_CHUNKS * size
+    return ratio, low, high, count, good
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -116,7 +125,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
             words = data.split()
             repeats = repeated_words(words)
             failed = len(words) < 20 or 100 * repeats > 30 * len(words)
-            ratio, low, high, full, good = band_verdict(data, compressor)
+            ratio, low, high, count, good = band_verdict(data, compressor)
             row = (
                 doc_id,
                 len(words),
@@ -129,7 +138,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
                 ratio,
                 low,
                 high,
-                full,
+                count,
             )
             for column, value in zip(out.values(), row, strict=True):
                 column.append(value)

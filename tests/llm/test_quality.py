@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from functools import partial
 from hashlib import sha256
 from zlib import crc32
 
 import numpy as np
+import zstandard
 
 import corpus_pipeline
 from affinia.llm import compression, identifiers, toxicity, weak_labels
@@ -55,6 +57,19 @@ def test_bands_reject_noise_and_repetition(frame, small):
     assert kept == {1: False, 2: False, 3: True}
 
 
+def test_the_end_of_a_text_is_judged_too():
+    draw = random.Random(6)
+    vocabulary = ["".join(draw.choice("abcdefghijklmnoprstu") for _ in range(draw.randint(2, 9))) for _ in range(1500)]
+    clean = " ".join(draw.choice(vocabulary) for _ in range(2000)).encode()
+    noise = bytes(draw.randint(0x21, 0x7E) for _ in range(4004))
+    verdict = partial(compression.band_verdict, compressor=zstandard.ZstdCompressor(level=compression.LEVEL))
+    ratio, low, high, count, good = verdict(clean[:4096] + noise)
+    assert 0.33 <= ratio <= 0.80
+    assert (low, high, count, good) == (0, 1, 2, False)
+    assert verdict(clean[:8100])[1:] == (0, 0, 2, True)
+    assert verdict(clean[:3000])[1:] == (0, 0, 1, True)
+
+
 def test_em_finds_good_and_bad_labellers():
     draw = np.random.default_rng(3)
     truth = (draw.random(20_000) < 0.7).astype(int)
