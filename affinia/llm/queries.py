@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinia.llm.alignment import alignment_report, tokenizer_pair
 from affinia.llm.ans_files import read_ids, write_ids
 from affinia.llm.common import table
 from affinia.llm.compression import quality_rules
 from affinia.llm.decontamination import contaminated_documents
 from affinia.llm.identifiers import span_report
 from affinia.llm.line_dedup import line_report
+from affinia.llm.merkle import tampered_text, verified_documents
+from affinia.llm.merkle_sql import MERKLE_SQL
 from affinia.llm.ngram_join import similar_documents
+from affinia.llm.overlap_bpe import encode_by_ranks, rank_digests, rank_files
 from affinia.llm.token_counts import LIMIT, token_counts
 from affinia.llm.toxicity import fit, held_out, score_texts
 from affinia.llm.tree_bpe import digests, encode_documents, tokenizer_files
@@ -97,6 +101,28 @@ def op10_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots, proof and verdict of every document, where half of them are altered."""
+    return verified_documents(table(spark, folder, "documents"), tampered_text())
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers in every document."""
+    files = tokenizer_pair(
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return alignment_report(table(spark, folder, "documents"), files)
+
+
+def op13_overlap_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the ids of every document by ranks, and of the bytes they decode to."""
+    files = rank_files(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return rank_digests(encode_by_ranks(table(spark, folder, "documents"), files), files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_weak_labels": op2_weak_labels,
@@ -108,7 +134,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_identifiers": op9_identifiers,
     "op10_compression_bands": op10_compression_bands,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_overlap_bpe": op13_overlap_bpe,
 }
 
 # SQL where it can say the same; the other queries are tested by brute force.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_merkle_manifest": MERKLE_SQL}
