@@ -31,12 +31,21 @@ class Vectors:
     vocabulary  token_id, rows and more
     members     item_id, vector_id, copies; None where no two items are copies
     items       number of items
+    folded      vector_id, copies of every vector, those without weights too
     """
 
     frame: DataFrame
     vocabulary: DataFrame
     members: DataFrame | None
     items: int
+    folded: DataFrame
+
+    @property
+    def known(self) -> DataFrame:
+        """(item_id, vector_id) of every item the vectors were built from."""
+        if self.members is not None:
+            return self.members.select("item_id", "vector_id")
+        return self.folded.select(F.col("vector_id").alias("item_id"), "vector_id")
 
 
 def item_tokens(
@@ -160,7 +169,9 @@ def build_vectors(
     members = None
     if size["items"] > size["vectors"]:
         members = staged(copy_members(tokens, folded, size["items"]), "members")
-    return Vectors(staged(unit_vectors(weighted), "vectors"), vocabulary, members, size["items"])
+    return Vectors(
+        staged(unit_vectors(weighted), "vectors"), vocabulary, members, size["items"], folded
+    )
 
 
 def item_weights(vectors: Vectors) -> DataFrame:
@@ -237,4 +248,4 @@ def build_hashed_vectors(
     weighted = join_counted(
         weights, vocabulary, "token_id", "rows", count_total(vocabulary, "rows")
     )
-    return Vectors(staged(unit_vectors(weighted), "vectors"), vocabulary, members, count)
+    return Vectors(staged(unit_vectors(weighted), "vectors"), vocabulary, members, count, folded)

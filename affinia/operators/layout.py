@@ -25,19 +25,6 @@ def with_category(
     raise ValueError(f"mode must be 'first' or 'all', not {mode!r}")
 
 
-def arrange_by_category(
-    frame: DataFrame, *, column: str = "genre", order: str = "persons"
-) -> DataFrame:
-    """Bring a category's rows together, sorted, for a partitioned write.
-
-    The rebalance hint hash-partitions by category and lets adaptive execution
-    split a category too large for one task and merge the tiny ones, so one
-    category may hold most of the rows. The partition column leads the sort;
-    otherwise the writer would sort again and lose the order.
-    """
-    return frame.hint("rebalance", column).sortWithinPartitions(column, order)
-
-
 def partition_by_category(
     items: DataFrame,
     path: str,
@@ -45,10 +32,14 @@ def partition_by_category(
     mode: str = "first",
     column: str = "genre",
     order: str = "persons",
+    most_files: int | None = None,
 ) -> None:
-    """Write items in one folder per category, in one job for all categories."""
+    """Write items in one folder per category, in one job for all categories.
+
+    A category's rows are together and sorted; see ``sinks.clustered``.
+    """
     categorised = with_category(items, mode=mode, column=column)
-    write_partitioned(arrange_by_category(categorised, column=column, order=order), path, column)
+    write_partitioned(categorised, path, column, order=[order], most_files=most_files)
 
 
 def order_edges(edges: DataFrame) -> DataFrame:

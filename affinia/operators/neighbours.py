@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.functions.vectors import dense_cosine, dense_literal
+from affinia.operators.edge_store import forward_only, holds_both_ways
 from affinia.operators.features import Vectors
 from affinia.operators.pairs import (
     COPIES_PER_SLOT,
@@ -17,18 +18,18 @@ from affinia.operators.pairs import (
     best_links,
     score_item,
 )
+from affinia.operators.postings import Postings, score_stored_item
 
 BEST = 10
 THRESHOLD = 0.1
 
 
-def mirrored(edges: DataFrame) -> DataFrame:
-    """Each edge in both directions, for tables that are looked up by either end."""
-    return edges.unionByName(
-        edges.select(
-            F.col("other_id").alias("item_id"), F.col("item_id").alias("other_id"), "similarity"
-        )
-    )
+class UnknownItem(LookupError):
+    """No item has the id."""
+
+
+class NothingSimilar(LookupError):
+    """The item is known, but nothing reaches the threshold."""
 
 
 def least_similarity(edges: DataFrame) -> float | None:
@@ -44,11 +45,15 @@ def _check_threshold(asked: float, least: float | None) -> None:
 def edges_of(edges: DataFrame, item_id: int, *, direction: str = "both") -> DataFrame:
     """(other_id, similarity) of one item.
 
-    ``stored`` follows the edges as stored, so it finds larger ids only; ``both``
-    finds all. The id filters reach the parquet scan.
+    ``stored`` finds larger ids only, as a table with each pair once has them; ``both``
+    finds all. The id filters reach the parquet scan. A table with both directions
+    (``edge_store``) is read once, by ``item_id``; any other is read by either end.
     """
     wanted = F.lit(item_id)
     forward = edges.where(F.col("item_id") == wanted).select("other_id", "similarity")
+    if holds_both_ways(edges):
+        if direction in ("both", "stored"):
+            return forward if direction == "both" else forward.where(F.col("other_id") > wanted)
     if direction == "stored":
         return forward
     if direction == "both":
@@ -69,15 +74,16 @@ def similar_items(
     k: int | None = BEST,
     direction: str = "both",
     how: str = "inner",
-    vectors: Vectors | None = None,
+    vectors: Vectors | Postings | None = None,
     digits: int = DIGITS,
 ) -> DataFrame:
     """The items most similar to one item, with their score, best first.
 
-    No row means: the id is unknown, or nothing reaches the threshold. ``k=None``
-    gives all. ``how="left"`` keeps neighbours that are missing from ``items``.
+    No row means: the id is unknown, or nothing reaches the threshold;
+    ``found_similar`` tells the two apart. ``k=None`` gives all. ``how="left"`` keeps neighbours that are missing from ``items``.
     A threshold of 0, or below the one the edges were found with, needs
-    ``vectors``: the item is then scored against all others, and at 0 the items
+    ``vectors``: the item is then scored against all others, from stored postings by
+    reading those of its tokens only, and at 0 the items
     that share nothing with it follow with a score of 0. Without vectors it raises;
     with vectors there need be no edges at all. ``digits`` rounds scores from vectors.
     Equal scores go by id. Edges are not broadcast by hint: adaptive execution
@@ -95,7 +101,8 @@ def similar_items(
             if edges is None:
                 raise ValueError("give edges, vectors or both")
             _check_threshold(threshold, least)
-        near = score_item(vectors, item_id, digits=digits)
+        score = score_stored_item if isinstance(vectors, Postings) else score_item
+        near = score(vectors, item_id, digits=digits)
         if direction == "stored":
             near = near.where(F.col("other_id") > wanted)
     else:
@@ -123,6 +130,19 @@ def similar_items(
     return ordered if k is None else ordered.limit(k)
 
 
+def found_similar(items: DataFrame, edges: DataFrame | None, item_id: int, **options) -> DataFrame:
+    """``similar_items`` of an item that must be known and have similar items.
+
+    Raises UnknownItem or NothingSimilar otherwise; each costs a look at one row.
+    """
+    if items.where(F.col("item_id") == F.lit(item_id)).isEmpty():
+        raise UnknownItem(f"there is no item {item_id}")
+    found = similar_items(items, edges, item_id, **options)
+    if found.isEmpty():
+        raise NothingSimilar(f"nothing is similar enough to item {item_id}: lower the threshold")
+    return found
+
+
 def top_k_of_edges(
     edges: DataFrame, k: int = BEST, *, threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -131,7 +151,8 @@ def top_k_of_edges(
     A threshold below the one the edges were found with raises an error.
     """
     _check_threshold(threshold, least_similarity(edges))
-    links = edges.where(F.col("similarity") >= F.lit(float(threshold))).toDF(
+    once = forward_only(edges)
+    links = once.where(F.col("similarity") >= F.lit(float(threshold))).toDF(
         *[{"item_id": "vector_id", "other_id": "other_vector"}.get(c, c) for c in edges.columns]
     )
     return best_links(links, k).select(
@@ -162,7 +183,15 @@ def top_k_neighbours(
             k,
             threshold=threshold,
         )
-    members = index.members
+    return items_of_best(best_links(links, k + 1), index.members, k)
+
+
+def items_of_best(ranked: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """The k best items of every item from the k + 1 best vectors of every vector.
+
+    ``ranked`` is (vector_id, other_vector, similarity); a vector with copies is among
+    its own best.
+    """
     lowest = Window.partitionBy("vector_id").orderBy("item_id")
     heads = (
         members.withColumn("nth", F.row_number().over(lowest))
@@ -171,8 +200,7 @@ def top_k_neighbours(
     )
     best = Window.partitionBy("vector_id").orderBy(F.desc("similarity"), "other_id")
     candidates = (
-        best_links(links, k + 1)
-        .join(heads, "other_vector")
+        ranked.join(heads, "other_vector")
         .withColumn("nth", F.row_number().over(best))
         .where(F.col("nth") <= F.lit(k + 1))
         .groupBy("vector_id")
@@ -203,6 +231,7 @@ def top_k_neighbours(
     )
 
 
+
 def dense_neighbours(
     vectors: DataFrame,
     query: Sequence[float],

@@ -21,13 +21,17 @@ Nothing at or above the threshold is lost.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil, log
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.functions.vectors import sparse_dot
+from affinia.operators.edge_store import write_edge_store
 from affinia.operators.features import FEATURE_COLUMNS, Vectors, build_vectors
 from affinia.operators.layout import order_edges
 from affinia.operators.skew import count_total, join_counted
@@ -48,7 +52,9 @@ CELL_ROWS = 4096
 BANDS = 8
 # Meetings per task while lists are sent and while pairs are summed.
 MEETINGS_PER_LIST_TASK = 5_000_000
-MEETINGS_PER_TASK = 300_000
+MEETINGS_PER_TASK = 1_500_000
+# Entries of a tail that one row holds: ten thousand rows, a batch, stay below 130 MB.
+PIECE = 512
 # Copies per slot when copies are written out.
 COPIES_PER_SLOT = 10_000
 # Key of the score column's metadata: the threshold that the pairs were found with.
@@ -180,17 +186,24 @@ def _plan_effort(
 
 
 def _usual_parts(
-    vectors: Vectors, effort: _Effort, rest: DataFrame | None, floor: float
+    vectors: Vectors,
+    effort: _Effort,
+    rest: DataFrame | None,
+    floor: float,
+    floors: DataFrame | None = None,
 ) -> DataFrame:
-    """(vector_id, other_vector, part[, missing]) of pairs that share a usual token and
-    may reach ``floor``.
+    """(vector_id, other_vector, part) of pairs that share a usual token and may reach ``floor``.
 
-    ``part`` is the exact sum over usual tokens, ``missing`` the most the rest can add.
+    ``part`` is the exact sum over usual tokens; a pair is kept where it and the most
+    that the ``rest`` (vector_id, length) can add reach ``floor``. With ``floors``
+    (vector_id, floor) the lower floor of the two vectors counts instead.
 
     The vectors of a token make one list, at most FREQUENT_ROWS long. Each vector of
     the list is sent once, with the tail of the list behind it, to the task that sums
     its pairs. So what is shuffled are arrays, not a row per meeting, there is no
-    self join, and the sums need no further shuffle.
+    self join, and the sums need no further shuffle. A vector's tails are summed as
+    arrays (``_summed``), because a row per meeting in a hash table costs about
+    twenty times as much.
     """
     # Tasks follow the counted meetings: input bytes say nothing about rows that each
     # meet thousands of others.
@@ -202,10 +215,11 @@ def _usual_parts(
     postings = _postings(vectors).where(
         (F.col("rows") > F.lit(1)) & (F.col("rows") <= F.lit(effort.frequent_rows))
     )
-    if rest is not None:
-        values.append("length")
-        postings = postings.join(rest.select("vector_id", "length"), "vector_id", "left")
-        postings = postings.withColumn("length", F.coalesce("length", F.lit(0.0)))
+    for name, frame in (("length", rest), ("floor", floors)):
+        if frame is not None:
+            values.append(name)
+            postings = postings.join(frame.select("vector_id", name), "vector_id", "left")
+            postings = postings.withColumn(name, F.coalesce(name, F.lit(0.0)))
     lists = (
         postings.select("token_id", F.struct("vector_id", *values).alias("posting"))
         .repartition(tasks(MEETINGS_PER_LIST_TASK), "token_id")
@@ -215,10 +229,14 @@ def _usual_parts(
     )
 
     def tail(name: str) -> Column:
-        return F.slice(F.col(name), F.col("at") + 2, F.size("vector_ids")).alias(name)
+        return F.slice(F.col(name), F.col("begin"), F.lit(PIECE)).alias(name)
 
+    # Long tails go in pieces, so that a batch of rows has a bounded size.
+    pieces = F.sequence(F.col("at") + 2, F.size("vector_ids"), F.lit(PIECE))
     sent = (
         lists.select("*", F.posexplode("vector_ids").alias("at", "vector_id"))
+        .where(F.col("at") + 1 < F.size("vector_ids"))
+        .select("*", F.explode(pieces).alias("begin"))
         .select(
             "vector_id",
             tail("vector_ids"),
@@ -226,25 +244,71 @@ def _usual_parts(
             *[tail(f"{name}s") for name in values],
         )
         .repartition(tasks(MEETINGS_PER_TASK), "vector_id")
+        .sortWithinPartitions("vector_id")
     )
 
-    def product(name: str) -> Column:
-        return F.col(name) * F.get(f"{name}s", F.col("at"))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _summed(batches, floor)
 
-    columns = ["vector_id", "other_vector", product("weight").alias("part")]
-    sums = [F.sum("part").alias("part")]
-    reach = F.col("part")
-    if rest is not None:
-        columns.append(product("length").alias("missing"))
-        sums.append(F.max("missing").alias("missing"))
-        reach = F.col("part") + F.col("missing")
-    return (
-        sent.select("*", F.posexplode("vector_ids").alias("at", "other_vector"))
-        .select(*columns)
-        .groupBy("vector_id", "other_vector")
-        .agg(*sums)
-        .where(reach >= F.lit(floor))
-    )
+    return sent.mapInArrow(work, "vector_id long, other_vector long, part double")
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of an array column in a row, and where each row's end."""
+    return column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().to_numpy())
+
+
+def _summed(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
+    """Pairs and their parts from rows of ``sent``, which come sorted by vector.
+
+    One vector's tails are held at a time, besides the batch they are in.
+    """
+    vector, held = None, []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        others, parts, missing, least = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(others, kind="stable")
+        others = others[order]
+        first = np.flatnonzero(np.diff(others, prepend=others[0] - 1))
+        sums = np.add.reduceat(parts[order], first)
+        kept = sums + missing[order][first] >= least[order][first]
+        if kept.any():
+            others = others[first][kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(others), vector, np.int64)), pa.array(others), pa.array(sums[kept])],
+                ["vector_id", "other_vector", "part"],
+            )
+
+    for batch in batches:
+        columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        ids = columns["vector_id"].to_numpy()
+        others, ends = _lists(columns["vector_ids"])
+        size = np.diff(ends, prepend=0)
+
+        def product(name: str, default: float) -> np.ndarray:
+            if name not in columns:
+                return np.full(len(others), default)
+            return np.repeat(columns[name].to_numpy(), size) * _lists(columns[f"{name}s"])[0]
+
+        parts, missing = product("weight", 0.0), product("length", 0.0)
+        if "floor" in columns:
+            least = np.minimum(np.repeat(columns["floor"].to_numpy(), size), _lists(columns["floors"])[0])
+        else:
+            least = np.full(len(others), floor)
+        # Runs of rows of one vector; the last may go on in the next batch.
+        bounds = np.flatnonzero(np.diff(ids)) + 1
+        starts, stops = [0, *bounds.tolist()], [*bounds.tolist(), len(ids)]
+        for start, stop in zip(starts, stops, strict=True):
+            if stop == start:
+                continue
+            if held and ids[start] != vector:
+                yield from close()
+                held = []
+            vector = ids[start]
+            span = slice(ends[start] - size[start], ends[stop - 1])
+            held.append((others[span], parts[span], missing[span], least[span]))
+    if held:
+        yield from close()
 
 
 def _rests(vectors: Vectors, frequent_rows: int) -> DataFrame:
@@ -376,7 +440,6 @@ def similar_vectors(
         )
         open_pairs = (
             _usual_parts(vectors, effort, rests, floor)
-            .drop("missing")
             .unionByName(alone)
             .groupBy("vector_id", "other_vector")
             .agg(F.sum("part").alias("part"))
@@ -397,32 +460,35 @@ def similar_vectors(
 def score_pairs(vectors: Vectors, pairs: DataFrame, *, digits: int = DIGITS) -> DataFrame:
     """The cosine of each asked pair of items, 0 where they share nothing.
 
-    ``pairs`` holds (item_id, other_id) in any order. A pair with an unknown or
-    an all-zero item scores 0.
+    ``pairs`` holds (item_id, other_id) in any order. A pair with an item whose
+    weights are all zero scores 0; one with an item that ``vectors`` was not built
+    from has no score (null).
     """
     sides = vectors.frame.select(
         "vector_id",
         F.col("entries.token_id").alias("tokens"),
         F.col("entries.weight").alias("weights"),
     )
-    if vectors.members is None:
-        sides = sides.withColumnRenamed("vector_id", "item_id")
-    else:
-        sides = vectors.members.select("item_id", "vector_id").join(sides, "vector_id")
-    left = sides.select("item_id", F.col("tokens").alias("lt"), F.col("weights").alias("lw"))
+    # Every item is a vector here, those without weights too.
+    sides = vectors.known.select("item_id", "vector_id").join(sides, "vector_id", "left")
+    left = sides.select(
+        "item_id", F.col("vector_id").alias("lv"), F.col("tokens").alias("lt"), F.col("weights").alias("lw")
+    )
     right = sides.select(
         F.col("item_id").alias("other_id"),
+        F.col("vector_id").alias("rv"),
         F.col("tokens").alias("rt"),
         F.col("weights").alias("rw"),
     )
     score = sparse_dot(F.col("lt"), F.col("lw"), F.col("rt"), F.col("rw"))
+    both_known = F.col("lv").isNotNull() & F.col("rv").isNotNull()
     return (
         pairs.join(left, "item_id", "left")
         .join(right, "other_id", "left")
         .select(
             "item_id",
             "other_id",
-            F.round(F.coalesce(score, F.lit(0.0)), digits).alias("similarity"),
+            F.when(both_known, F.round(F.coalesce(score, F.lit(0.0)), digits)).alias("similarity"),
         )
     )
 
@@ -444,21 +510,26 @@ def score_item(vectors: Vectors, item_id: int, *, digits: int = DIGITS) -> DataF
     asked = own.select(F.inline("entries")).select("token_id", F.col("weight").alias("asked"))
     score = F.round(F.sum(F.col("weight") * F.col("asked")), digits).alias("similarity")
     scored = _postings(vectors).join(F.broadcast(asked), "token_id").groupBy("vector_id").agg(score)
-    if vectors.members is None:
+    return members_of_scores(scored, vectors.members, item_id)
+
+
+def members_of_scores(scored: DataFrame, members: DataFrame | None, item_id: int) -> DataFrame:
+    """(other_id, similarity) of all items but one from (vector_id, similarity)."""
+    if members is None:
         found = scored.withColumnRenamed("vector_id", "other_id")
     else:
         # As in ``_write_out_copies``, a large group of copies is met in slots.
         slots = _slots(F.col("copies"))
-        heads = vectors.members.where("item_id = vector_id").select("vector_id", "copies")
+        heads = members.where("item_id = vector_id").select("vector_id", "copies")
         spread = scored.join(heads, "vector_id").select(
             "vector_id", "similarity", F.explode(F.sequence(F.lit(0), slots - 1)).alias("slot")
         )
-        found = vectors.members.select(
+        found = members.select(
             F.col("item_id").alias("other_id"),
             "vector_id",
             F.pmod(F.xxhash64("item_id"), slots).cast("int").alias("slot"),
         ).join(spread, ["vector_id", "slot"])
-    return found.where(F.col("other_id") != wanted).select("other_id", "similarity")
+    return found.where(F.col("other_id") != F.lit(item_id)).select("other_id", "similarity")
 
 
 def build_index(
@@ -521,14 +592,21 @@ def write_similar_pairs(
     threshold: float,
     *,
     columns: tuple[str, ...] = FEATURE_COLUMNS,
+    both_ways: bool = False,
 ) -> bool:
     """Compute the pair table and write it, ordered by item and score.
 
+    With ``both_ways`` each pair is stored in both directions (see ``edge_store``).
     Returns False, having done nothing, where ``path`` exists already.
     """
     if path_exists(items.sparkSession, path):
         return False
-    return write_new(order_edges(similar_pairs(items, threshold, columns=columns)), path)
+    # Staged, because ordering reads its input twice: for the ranges and for the rows.
+    edges = staged(similar_pairs(items, threshold, columns=columns), "edges")
+    if both_ways:
+        write_edge_store(edges, path)
+        return True
+    return write_new(order_edges(edges), path)
 
 
 def best_links(links: DataFrame, k: int) -> DataFrame:

@@ -42,10 +42,16 @@ def bernoulli_sample(frame: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def keyed_sample(frame: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
-    """Keep each key with the same chance, whatever the partitioning."""
-    buckets = 1_000_000
-    drawn = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
-    return frame.where(drawn < F.lit(round(fraction * buckets)))
+    """Keep each key with the same chance, whatever the partitioning and the engine.
+
+    A key stays where the first eight hex digits of md5 of ``seed:key`` are below the
+    fraction of all such numbers, so any engine with md5 draws the same keys. Rows
+    without a key are drawn by ``seed:`` alone: all of them or none.
+    """
+    limit = min(round(fraction * 2**32), 2**32)
+    said = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    drawn = F.conv(F.substring(F.md5(said), 1, 8), 16, 10).cast("long")
+    return frame.where(drawn < F.lit(limit))
 
 
 def partition_sizes(frame: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from affinia.operators.pairs import write_similar_pairs
 from affinia.operators.profiles import build_profiles
 from affinia.sources.columnar import read_parquet
 from affinia.sources.delimited import read_catalogue_files
-from affinia.sources.sinks import create_or_replace_table, write_parquet
+from affinia.sources.sinks import write_parquet
+from affinia.sources.versions import publish_files
 
 
 def prepare_items(
@@ -39,8 +40,8 @@ def prepare_categories(
 def prepare_similarity(
     spark: SparkSession, items_path: str, output: str, *, threshold: float = 0.1
 ) -> bool:
-    """The item table to the table of similar pairs; False where that exists."""
-    return write_similar_pairs(read_parquet(spark, items_path), output, threshold)
+    """The item table to the table of similar pairs, in both directions; False where that exists."""
+    return write_similar_pairs(read_parquet(spark, items_path), output, threshold, both_ways=True)
 
 
 def publish(
@@ -51,8 +52,12 @@ def publish(
     items_table: str = "items",
     edges_table: str = "item_edges",
 ) -> tuple[DataFrame, DataFrame]:
-    """Both tables in the catalog, for SQL and for the lookup functions."""
+    """Both tables in the catalog, for SQL and for the lookup functions.
+
+    The files are registered where they are, as the next version of each name; nothing is
+    copied, and readers of the old versions go on.
+    """
     return (
-        create_or_replace_table(read_parquet(spark, items_path), items_table),
-        create_or_replace_table(read_parquet(spark, edges_path), edges_table),
+        publish_files(spark, items_path, items_table),
+        publish_files(spark, edges_path, edges_table),
     )

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinia.functions.tokens import joined
 from affinia.functions.vectors import dense_cosine
+from affinia.operators.best import best_neighbours
+from affinia.operators.edge_store import mirrored, stored_positions, write_edge_store
 from affinia.operators.features import (
     build_hashed_vectors,
     build_vectors,
@@ -18,9 +22,9 @@ from affinia.operators.features import (
     item_weights,
     term_frequency,
 )
+from affinia.operators.nearest import nearest_of_all
 from affinia.operators.neighbours import (
     dense_neighbours,
-    mirrored,
     similar_items,
     top_k_neighbours,
     top_k_of_edges,
@@ -31,8 +35,12 @@ from affinia.operators.pairs import (
     score_pairs,
     similar_pairs,
 )
+from affinia.operators.postings import write_postings
+from affinia.plans import bindings
 from affinia.plans.bindings import ITEMS_SQL, flat, stored_items, table
-from affinia.sources.workspace import staged
+from affinia.plans.jobs import prepare_similarity, publish
+from affinia.sources.sinks import write_parquet
+from affinia.sources.workspace import fresh_path, staged
 
 THRESHOLD = 0.3
 DIGITS = 6
@@ -143,7 +151,7 @@ def pairs_by_frequent_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pair_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """The score of each item with the next two items, zeros included."""
+    """The score of each item with the next two numbers: zeros included, null where no item is."""
     items = stored_items(spark, folder)
     asked = items.select(
         "item_id",
@@ -155,7 +163,9 @@ def pair_scores(spark: SparkSession, folder: str) -> DataFrame:
 PAIR_SCORES_SQL = f"""
 WITH {WEIGHTS_SQL},
 asked AS (SELECT item_id, unnest([item_id + 1, item_id + 2]) AS other_id FROM items)
-SELECT asked.item_id, asked.other_id, round(coalesce(sum(a.u * b.u), 0), {DIGITS}) AS similarity
+SELECT asked.item_id, asked.other_id,
+       CASE WHEN asked.other_id IN (SELECT item_id FROM items)
+            THEN round(coalesce(sum(a.u * b.u), 0), {DIGITS}) END AS similarity
 FROM asked
 LEFT JOIN units a ON a.item_id = asked.item_id
 LEFT JOIN units b ON b.item_id = asked.other_id AND b.token = a.token
@@ -339,7 +349,98 @@ SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]),
 FROM embeddings
 """
 
+def _edge_store(spark: SparkSession, folder: str) -> tuple[DataFrame, str]:
+    items, index = _index(spark, folder)
+    path = fresh_path(spark, "edge-store")
+    write_edge_store(staged(index.edges(), "edges"), path)
+    return items, path
+
+
+def edge_store_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """One item from a store with both directions: one scan, by id."""
+    items, path = _edge_store(spark, folder)
+    return flat(similar_items(items, spark.read.parquet(path), ASKED, threshold=THRESHOLD))
+
+
+def edge_store_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair in both directions with its place in the stored files."""
+    return stored_positions(spark, _edge_store(spark, folder)[1])
+
+
+EDGE_STORE_ORDER_SQL = f"""
+WITH {PAIRS_SQL}
+SELECT *, row_number() OVER (ORDER BY item_id, similarity DESC, other_id) AS position FROM both_ways
+"""
+
+
+def published_similar(spark: SparkSession, folder: str) -> DataFrame:
+    """Items to pairs to catalog names, published twice, and a lookup by those names."""
+    names = {"items_table": f"items_{uuid4().hex}", "edges_table": f"edges_{uuid4().hex}"}
+    for rating in ("5", "0"):
+        items_path, edges_path = fresh_path(spark, "items"), fresh_path(spark, "edges")
+        write_parquet(bindings.items(spark, folder, min_rating=rating), items_path)
+        prepare_similarity(spark, items_path, edges_path, threshold=THRESHOLD)
+        publish(spark, items_path, edges_path, **names)
+    found = similar_items(
+        spark.table(names["items_table"]), spark.table(names["edges_table"]), ASKED, threshold=THRESHOLD, k=None
+    )
+    return flat(found).withColumn("similarity", F.round("similarity", DIGITS))
+
+
+def score_from_postings(spark: SparkSession, folder: str) -> DataFrame:
+    """Item 42 against every other item, from the stored postings of its tokens."""
+    items = stored_items(spark, folder)
+    store = write_postings(build_vectors(items), fresh_path(spark, "postings"))
+    return flat(similar_items(items, None, ASKED, threshold=0, k=None, vectors=store, digits=DIGITS))
+
+
+def best_of_every_item(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best of every item, whatever their scores."""
+    return best_neighbours(build_vectors(stored_items(spark, folder)), 10, digits=DIGITS)
+
+
+BEST_SQL = TOP_K_SQL.replace(f">= {THRESHOLD}", "> 0")
+
+
+def best_among_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where each vector stands for a large group of copies."""
+    vectors = build_vectors(stored_items(spark, folder), COPY_COLUMNS)
+    return best_neighbours(vectors, 40, digits=DIGITS)
+
+
+BEST_COPIES_SQL = TOP_K_COPIES_SQL.replace(f">= {COPY_THRESHOLD}", "> 0")
+
+
+def nearest_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest embeddings of every embedding."""
+    found = nearest_of_all(
+        table(spark, folder, "embeddings"), 5, id_column="vec_id", vector_column="embedding", digits=6
+    )
+    return found.withColumnsRenamed({"item_id": "vec_id"})
+
+
+NEAREST_SQL = """
+WITH pairs AS (
+    SELECT a.vec_id, b.vec_id AS other_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]),
+           CAST(b.embedding AS DOUBLE[])), 6) AS similarity
+    FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+),
+ranked AS (
+    SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id
+           ORDER BY similarity DESC, other_id) AS INTEGER) AS position, other_id, similarity
+    FROM pairs
+)
+SELECT * FROM ranked WHERE position <= 5
+"""
+
 QUERIES = {
+    "edge_store_lookup": (edge_store_lookup, _similar_sql("both_ways", "LIMIT 10")),
+    "edge_store_order": (edge_store_order, EDGE_STORE_ORDER_SQL),
+    "published_similar": (published_similar, _similar_sql("both_ways", "")),
+    "score_from_postings": (score_from_postings, SIMILAR_ZERO_SQL),
+    "best_of_every_item": (best_of_every_item, BEST_SQL),
+    "best_among_copies": (best_among_copies, BEST_COPIES_SQL),
+    "nearest_embeddings": (nearest_embeddings, NEAREST_SQL),
     "feature_tokens": (feature_tokens_query, FEATURE_TOKENS_SQL),
     "token_idf": (token_idf, TOKEN_IDF_SQL),
     "token_unit_weights": (token_unit_weights, TOKEN_UNIT_WEIGHTS_SQL),

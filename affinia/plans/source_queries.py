@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affinia.functions.tokens import numeric_id
+from affinia.operators.edge_store import stored_positions
 from affinia.operators.layout import (
     order_edges,
     partition_by_category,
@@ -15,7 +16,7 @@ from affinia.operators.layout import (
     with_category,
 )
 from affinia.operators.profiles import build_profiles
-from affinia.operators.summary import count_by, partition_sizes
+from affinia.operators.summary import count_by
 from affinia.plans.bindings import ITEMS_SQL, flat, frames, items, table
 from affinia.sources.columnar import (
     column_names,
@@ -59,19 +60,24 @@ def typed_tsv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "part").select(
             "p_partkey",
             "p_name",
+            "p_brand",
+            "p_type",
             F.when(known, F.col("p_size")).alias("p_size"),
             F.col("p_retailprice").cast("decimal(10,2)").alias("p_retailprice"),
             F.when(known, (F.col("p_size") + 1900).cast("string")).alias("p_year"),
         ),
         path,
     )
-    schema = "p_partkey BIGINT, p_name STRING, p_size INT, p_retailprice DECIMAL(10,2), p_year DATE"
+    schema = (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+        "p_retailprice DECIMAL(10,2), p_year DATE"
+    )
     read = read_delimited(spark, path, schema)
     return flat(read.withColumn("p_size", F.coalesce("p_size", F.lit(-1))))
 
 
 TYPED_TSV_SQL = """
-SELECT p_partkey, p_name, CASE WHEN p_size <> 7 THEN p_size ELSE -1 END AS p_size,
+SELECT p_partkey, p_name, p_brand, p_type, CASE WHEN p_size <> 7 THEN p_size ELSE -1 END AS p_size,
        CAST(CAST(p_retailprice AS DECIMAL(10, 2)) AS DOUBLE) AS p_retailprice,
        CASE WHEN p_size <> 7 THEN CAST(make_date(1900 + p_size, 1, 1) AS VARCHAR) END AS p_year
 FROM part
@@ -237,7 +243,8 @@ def create_table_once(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sql_parquet_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return sql_over_parquet(spark, f"{folder}/lineitem.parquet").drop("l_shipdate")
+    lines = sql_over_parquet(spark, f"{folder}/lineitem.parquet")
+    return lines.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
 def write_once_guard(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,29 +295,40 @@ FROM customer
 
 
 def range_layout(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per range partition add up to the table."""
+    """Rows and partitions of a range layout, and how many ranges reach into the one before."""
     lines = range_partitioned(table(spark, folder, "lineitem"), 8, "l_partkey", "l_orderkey")
-    return partition_sizes(lines).agg(
-        F.sum("n").alias("n"), F.count("*").alias("partitions")
+    key = F.struct("l_partkey", "l_orderkey")
+    ranges = lines.groupBy(F.spark_partition_id().alias("partition_id")).agg(
+        F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")
+    )
+    # One row per partition.
+    before = F.lag("high").over(Window.orderBy("partition_id"))
+    return ranges.withColumn("reaches", F.col("low") <= before).agg(
+        F.sum("n").alias("n"), F.count("*").alias("partitions"), F.count_if("reaches").alias("overlaps")
     )
 
 
-RANGE_LAYOUT_SQL = "SELECT count(*) AS n, CAST(8 AS BIGINT) AS partitions FROM lineitem"
+RANGE_LAYOUT_SQL = """
+SELECT count(*) AS n, CAST(8 AS BIGINT) AS partitions, CAST(0 AS BIGINT) AS overlaps FROM lineitem
+"""
 
 
 def edge_order(spark: SparkSession, folder: str) -> DataFrame:
-    """Edges from parts to orders in the order they are stored: id, then best first."""
+    """Edges from parts to orders with their place in the stored files: id, then best first."""
     edges = table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("item_id"),
         F.col("l_orderkey").alias("other_id"),
         F.col("l_discount").alias("similarity"),
     )
-    return order_edges(edges)
+    path = fresh_path(spark, "edges")
+    write_new(order_edges(edges), path)
+    return stored_positions(spark, path)
 
 
 EDGE_ORDER_SQL = """
-SELECT l_partkey AS item_id, l_orderkey AS other_id, l_discount AS similarity FROM lineitem
-ORDER BY item_id, similarity DESC, other_id
+SELECT l_partkey AS item_id, l_orderkey AS other_id, l_discount AS similarity,
+       row_number() OVER (ORDER BY l_partkey, l_discount DESC, l_orderkey) AS position
+FROM lineitem
 """
 
 QUERIES = {
@@ -328,7 +346,7 @@ QUERIES = {
     "create_table_once": (create_table_once, "SELECT * FROM customer"),
     "sql_parquet_scan": (
         sql_parquet_scan,
-        "SELECT * EXCLUDE (l_shipdate) FROM lineitem",
+        "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM lineitem",
     ),
     "write_once_guard": (write_once_guard, WRITE_ONCE_SQL),
     "schema_columns": (schema_columns, "SELECT column_name FROM (DESCRIBE lineitem)"),

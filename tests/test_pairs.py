@@ -194,14 +194,18 @@ def test_scores_are_between_zero_and_one(vectors):
 
 
 def test_score_pairs_gives_zeros_and_any_order(spark, vectors, truth):
-    asked = [(a, b) for a, b in list(truth)[:200]] + [(50, 2), (1, 999)]
+    asked = [(a, b) for a, b in list(truth)[:200]] + [(50, 2)]
     frame = spark.createDataFrame(asked, "item_id BIGINT, other_id BIGINT")
     expected = {pair: truth[pair] for pair in asked[:200]}
     expected[(50, 2)] = truth[(2, 50)]
-    expected[(1, 999)] = 0.0
     same(table(score_pairs(vectors, frame)), expected)
 
 
+def test_score_of_an_unknown_item_is_null(spark, vectors):
+    frame = spark.createDataFrame([(1, 999), (999, 1), (998, 999)], "item_id BIGINT, other_id BIGINT")
+    assert [r["similarity"] for r in score_pairs(vectors, frame).collect()] == [None] * 3
+
+
 def test_token_in_every_item_weighs_nothing(spark):
     rows = [(1, "X", [], None, []), (2, "X", [], None, []), (3, "X", ["Y"], None, [])]
     frame = spark.createDataFrame(rows, SCHEMA)

@@ -5,11 +5,11 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from affinia.operators import skew
 from affinia.operators.neighbours import top_k_of_edges
 from affinia.operators.skew import count_total, join_counted
 from affinia.plans import bindings
+from affinia.plans.registry import QUERIES
 from affinia.sources.sinks import create_table, path_exists, write_new
 from affinia.sources.workspace import fresh_path, staged, work_root
 
@@ -20,9 +20,9 @@ def plan(frame) -> str:
     return frame._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python_in_plans(spark, name):
-    text = plan(queries()[name](spark, SMALL))
+    text = plan(QUERIES[name][0](spark, SMALL))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEval",
                  "MapInPandas", "FlatMapGroupsInPandas"):
         assert word not in text
@@ -35,7 +35,7 @@ def test_pair_join_plan(spark, frequent_rows):
 
     vectors = build_vectors(bindings.stored_items(spark, SMALL))
     text = plan(similar_vectors(vectors, 0.3, frequent_rows=frequent_rows))
-    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "Python"):
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert word not in text
 
 
