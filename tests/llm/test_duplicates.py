@@ -118,7 +118,7 @@ def expected_drops(rows):
     ]
     texts = sorted({line for *_, line in lines if line})
     number = {line: k for k, line in enumerate(texts)}
-    groups = similar_groups([{x[i : i + 5] for i in range(len(x) - 4)} or {x} for x in texts])
+    groups = similar_groups([{x[i : i + line_dedup.WIDTH] for i in range(len(x) - line_dedup.WIDTH + 1)} or {x} for x in texts])
     first = {}
     for i, _, k, line in lines:
         if line:
