@@ -21,7 +21,7 @@ Nothing at or above the threshold is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import ceil, log
 
@@ -247,68 +247,75 @@ def _usual_parts(
         .sortWithinPartitions("vector_id")
     )
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _summed(batches, floor)
+    return sent.mapInArrow(summing(floor), "vector_id long, other_vector long, part double")
 
-    return sent.mapInArrow(work, "vector_id long, other_vector long, part double")
 
+def summing(
+    floor: float,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function that sums batches of ``sent``.
 
-def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of an array column in a row, and where each row's end."""
-    return column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().to_numpy())
-
-
-def _summed(batches: Iterator[pa.RecordBatch], floor: float) -> Iterator[pa.RecordBatch]:
-    """Pairs and their parts from rows of ``sent``, which come sorted by vector.
-
-    One vector's tails are held at a time, besides the batch they are in.
+    Its parts are inside, so that they travel with the task and workers need no package
+    but numpy and pyarrow.
     """
-    vector, held = None, []
-
-    def close() -> Iterator[pa.RecordBatch]:
-        others, parts, missing, least = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(others, kind="stable")
-        others = others[order]
-        first = np.flatnonzero(np.diff(others, prepend=others[0] - 1))
-        sums = np.add.reduceat(parts[order], first)
-        kept = sums + missing[order][first] >= least[order][first]
-        if kept.any():
-            others = others[first][kept]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(others), vector, np.int64)), pa.array(others), pa.array(sums[kept])],
-                ["vector_id", "other_vector", "part"],
-            )
 
-    for batch in batches:
-        columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        ids = columns["vector_id"].to_numpy()
-        others, ends = _lists(columns["vector_ids"])
-        size = np.diff(ends, prepend=0)
+    def lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of an array column in a row, and where each row's end."""
+        return column.flatten().to_numpy(zero_copy_only=False), np.cumsum(column.value_lengths().to_numpy())
 
-        def product(name: str, default: float) -> np.ndarray:
-            if name not in columns:
-                return np.full(len(others), default)
-            return np.repeat(columns[name].to_numpy(), size) * _lists(columns[f"{name}s"])[0]
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs and their parts from rows of ``sent``, which come sorted by vector.
 
-        parts, missing = product("weight", 0.0), product("length", 0.0)
-        if "floor" in columns:
-            least = np.minimum(np.repeat(columns["floor"].to_numpy(), size), _lists(columns["floors"])[0])
-        else:
-            least = np.full(len(others), floor)
-        # Runs of rows of one vector; the last may go on in the next batch.
-        bounds = np.flatnonzero(np.diff(ids)) + 1
-        starts, stops = [0, *bounds.tolist()], [*bounds.tolist(), len(ids)]
-        for start, stop in zip(starts, stops, strict=True):
-            if stop == start:
-                continue
-            if held and ids[start] != vector:
-                yield from close()
-                held = []
-            vector = ids[start]
-            span = slice(ends[start] - size[start], ends[stop - 1])
-            held.append((others[span], parts[span], missing[span], least[span]))
-    if held:
-        yield from close()
+        One vector's tails are held at a time, besides the batch they are in.
+        """
+        vector, held = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            others, parts, missing, least = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(others, kind="stable")
+            others = others[order]
+            first = np.flatnonzero(np.diff(others, prepend=others[0] - 1))
+            sums = np.add.reduceat(parts[order], first)
+            kept = sums + missing[order][first] >= least[order][first]
+            if kept.any():
+                others = others[first][kept]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(others), vector, np.int64)), pa.array(others), pa.array(sums[kept])],
+                    ["vector_id", "other_vector", "part"],
+                )
+
+        for batch in batches:
+            columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            ids = columns["vector_id"].to_numpy()
+            others, ends = lists(columns["vector_ids"])
+            size = np.diff(ends, prepend=0)
+
+            def product(name: str, default: float) -> np.ndarray:
+                if name not in columns:
+                    return np.full(len(others), default)
+                return np.repeat(columns[name].to_numpy(), size) * lists(columns[f"{name}s"])[0]
+
+            parts, missing = product("weight", 0.0), product("length", 0.0)
+            if "floor" in columns:
+                least = np.minimum(np.repeat(columns["floor"].to_numpy(), size), lists(columns["floors"])[0])
+            else:
+                least = np.full(len(others), floor)
+            # Runs of rows of one vector; the last may go on in the next batch.
+            bounds = np.flatnonzero(np.diff(ids)) + 1
+            starts, stops = [0, *bounds.tolist()], [*bounds.tolist(), len(ids)]
+            for start, stop in zip(starts, stops, strict=True):
+                if stop == start:
+                    continue
+                if held and ids[start] != vector:
+                    yield from close()
+                    held = []
+                vector = ids[start]
+                span = slice(ends[start] - size[start], ends[stop - 1])
+                held.append((others[span], parts[span], missing[span], least[span]))
+        if held:
+            yield from close()
+
+    return summed
 
 
 def _rests(vectors: Vectors, frequent_rows: int) -> DataFrame:

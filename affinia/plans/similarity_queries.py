@@ -164,9 +164,10 @@ PAIR_SCORES_SQL = f"""
 WITH {WEIGHTS_SQL},
 asked AS (SELECT item_id, unnest([item_id + 1, item_id + 2]) AS other_id FROM items)
 SELECT asked.item_id, asked.other_id,
-       CASE WHEN asked.other_id IN (SELECT item_id FROM items)
+       CASE WHEN count(known.item_id) > 0
             THEN round(coalesce(sum(a.u * b.u), 0), {DIGITS}) END AS similarity
 FROM asked
+LEFT JOIN items known ON known.item_id = asked.other_id
 LEFT JOIN units a ON a.item_id = asked.item_id
 LEFT JOIN units b ON b.item_id = asked.other_id AND b.token = a.token
 GROUP BY ALL

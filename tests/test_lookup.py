@@ -207,7 +207,7 @@ def test_tails_sum_across_batches():
         for size in cuts:
             parts.append(batch(data[at : at + size]))
             at += size
-        got = [r for b in pairs._summed(iter(parts), 0.0) for r in b.to_pylist()]
+        got = [r for b in pairs.summing(0.0)(iter(parts)) for r in b.to_pylist()]
         # (1, 2) has 0.75 + 0.125, below both floors; (1, 3) and (4, 5) reach one.
         assert [tuple(r.values()) for r in got] == [(1, 3, 1.5), (4, 5, 2.0), (4, 6, 1.0)]
 
