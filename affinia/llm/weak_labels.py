@@ -201,7 +201,8 @@ def quality(docs: DataFrame, *, sample: int = SAMPLE, threshold: float = 0.5) ->
             "votes": ["".join(map(str, votes_of(t))) for t in texts],
         }
 
-    chosen = keyed_texts(docs).orderBy(F.xxhash64("text"), "doc_id").select("doc_id", F.xxhash64("text").alias("mark")).limit(sample)
+    # The hash first, so that no text goes through the ordering.
+    chosen = keyed_texts(docs).select("doc_id", F.xxhash64("text").alias("mark")).orderBy("mark", "doc_id").limit(sample)
     picked = keyed_texts(docs).join(
         F.broadcast(chosen.select("mark").distinct()), F.xxhash64("text") == F.col("mark"), "left_semi"
     )  # at most ``sample`` marks
