@@ -70,6 +70,48 @@ def test_the_end_of_a_text_is_judged_too():
     assert verdict(clean[:3000])[1:] == (0, 0, 1, True)
 
 
+def plain_kept(text):
+    """The verdict by a loop of its own: base rules, band of the whole, share of bad bytes."""
+    data = (text or "").encode()
+    if plain_measures(text)[-1]:
+        return False
+    packed = [len(zstandard.ZstdCompressor(level=3).compress(data))]
+    below = [k for k, b in enumerate(compression.BANDS) if b[0] <= len(data)]
+    if not below:
+        least, most = 0.0, compression.MOST_SHORT
+    elif below[-1] + 1 == len(compression.BANDS):
+        _, least, most = compression.BANDS[-1]
+    else:
+        (n, a, b), (m, c, d) = compression.BANDS[below[-1] : below[-1] + 2]
+        share = np.log(len(data) / n) / np.log(m / n)
+        least, most = a + share * (c - a), b + share * (d - b)
+    bad = 0
+    if len(data) >= 4096:
+        for start in range(0, len(data), 4096):
+            end = min(len(data), start + 4096)
+            packed.append(len(zstandard.ZstdCompressor(level=3).compress(data[end - 4096 : end])))
+            low, high = compression.CHUNK_BAND
+            bad += end - start if not low <= packed[-1] / 4096 <= high else 0
+    return least <= packed[0] / len(data) <= most and 4 * bad <= len(data)
+
+
+def test_bands_by_brute_force_and_by_labels(spark, frame, odd):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = {r.doc_id: r.kept for r in compression.quality_rules(docs).collect()}
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    assert all(got[i] == plain_kept(t) for i, t in texts.items())
+    rows = compression.quality_rules(frame(odd)).select("doc_id", "kept").collect()
+    assert sorted(map(tuple, rows), key=key) == sorted(((i, plain_kept(t)) for i, t in odd), key=key)
+    held = [
+        (got[r.doc_id], r.quality)
+        for r in spark.read.parquet(f"{folder}/labels.parquet").collect()
+        if r.doc_id in got and crc32(str(r.doc_id).encode()) % 5 == 0 and not plain_measures(texts[r.doc_id])[-1]
+    ]
+    good, bad = ([kept for kept, quality in held if quality == q] for q in (1, 0))
+    assert np.mean(good) > 0.97 and np.mean(bad) < 0.45
+
+
 def test_em_finds_good_and_bad_labellers():
     draw = np.random.default_rng(3)
     truth = (draw.random(20_000) < 0.7).astype(int)
@@ -97,6 +139,37 @@ def test_weak_labels_agree_with_the_labels(spark, frame, odd):
     assert weak_labels.quality(frame([])).collect() == []
 
 
+def test_peaks_agree_with_pooling_over_stretches(monkeypatch):
+    draw = np.random.default_rng(4)
+    codes = draw.integers(0, 1 << 32, 900).astype(np.uint32)
+    model = toxicity.train([codes[:400], codes[400:]] * 3, np.array([0, 1] * 3), np.ones(6), steps=5)
+    whole = model.pooled(codes)
+    for stretch in (7, 100, 50_000):
+        monkeypatch.setattr(toxicity, "STRETCH", stretch)
+        tops = [np.maximum(t + b, 0) for (t, _), b in zip(model.peaks(codes), model.biases, strict=True)]
+        assert np.allclose(np.concatenate(tops), whole, atol=1e-6)
+        assert np.allclose(model.pooled(codes), whole, atol=1e-6)
+        empty = np.zeros((toxicity.PAD, toxicity.DEPTH), np.float32)
+        vectors = np.concatenate([empty, model.vectors(codes), empty])
+        for reply, (_, places) in zip(model.responses(vectors), model.peaks(codes), strict=True):
+            assert (reply.argmax(axis=0) - toxicity.PAD == places).all()
+
+
+def test_a_text_beyond_the_words_of_the_sample_is_left_out_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 500)
+    monkeypatch.setattr(toxicity, "train", lambda samples, *rest: seen.extend(samples) or toxicity.Model(
+        np.zeros((toxicity.ROWS, toxicity.DEPTH), np.float32), np.zeros((toxicity.ROWS, toxicity.DEPTH), np.float32),
+        [np.zeros((w, toxicity.DEPTH, toxicity.FILTERS), np.float32) for w in toxicity.WIDTHS],
+        [np.zeros(toxicity.FILTERS, np.float32) for _ in toxicity.WIDTHS],
+        np.zeros(toxicity.FILTERS * len(toxicity.WIDTHS), np.float32), 0.0, np.zeros(len(toxicity.LANGUAGES))))
+    rows = [(i, "bad word " * (400 if i == 3 else 4)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels) is not None
+    assert seen and {len(s) for s in seen} == {8}
+
+
 def test_toxicity_on_rows_held_out(spark, frame, odd):
     folder = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
