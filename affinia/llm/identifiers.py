@@ -2,11 +2,15 @@
 
 Base rules find e-mail addresses, network addresses, card and phone numbers. They are
 the seeds of a bootstrap: tokens that look like identifiers are instances, the two words
-before and the two words after one are its lexical patterns. A pattern's confidence is
-the summed score of its instances by all places of the corpus where its words stand,
-whatever follows, so a common pair of words is no evidence; an instance's score is the
-chance that one of its patterns holds. The two are computed in turn over the graph of
-patterns and instances. Tokens that a confident pattern holds become spans of kind id.
+before and the two words after one, whatever they are, are its lexical patterns, with
+every digit as 0. A pattern is in use once enough different accepted instances stand in
+it; seeds are accepted from the start. Its confidence is the summed score of its
+instances by all places of the corpus where its words stand, whatever follows, so a
+common pair of words is no evidence; an instance's score is the chance that one of its
+patterns in use holds, and it is accepted at a least score. An accepted instance brings
+its other patterns into use, so the graph of patterns and instances is gone over until
+no instance is accepted any more. Scores only rise, so this ends. Tokens of accepted
+instances in confident patterns become spans of kind id.
 
 DataFrame functions only. A regular expression gives its matches and the pieces between
 them, whose lengths give every span; spans, not texts, are shuffled. A pattern of many
@@ -41,10 +45,11 @@ KINDS = (*RULES, "id")
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: An identifier-like token: a run between blanks with an @ or with four digits.
 TOKEN = r"(?<!\S)(?=[^\s@]*+@|(?:[^\s0-9]*+[0-9]){4})\S++"
-CONTEXT = 96
+#: Characters of a text kept on either side of a token; words are taken from them.
+CONTEXT = 512
 
-ROUNDS = 3
-#: Different seeds a pattern needs, and the confidence and score that make a span.
+#: Different accepted instances a pattern needs, and the confidence and score that make
+#: a span.
 LEAST_SEEDS = 4
 CONFIDENT = 0.6
 ACCEPTED = 0.6
@@ -71,12 +76,17 @@ def _pieces(kind: str) -> str:
     Matches and pieces are columns of the projection below, which stays apart because
     pieces are used twice; so a text is scanned once per rule.
     """
-    gap = f"gap_{kind}"
+    gap, match = f"gap_{kind}", f"match_{kind}"
+    left = right = "''"
+    if kind == "id":
+        # A token is one word, so two of them beside this one are context enough.
+        before = ", ".join(f"coalesce(get({gap}, i - {k}), ''), coalesce(get({match}, i - {k}), '')" for k in (2, 1))
+        after = ", ".join(f"coalesce(get({match}, i + {k}), ''), coalesce(get({gap}, i + {k + 1}), '')" for k in (1, 2))
+        left = f"right(concat({before}, {gap}[i]), {CONTEXT})"
+        right = f"left(concat({gap}[i + 1], {after}), {CONTEXT})"
     return (
-        f"transform(match_{kind}, (m, i) -> struct({KINDS.index(kind)} AS kind, i AS index, m AS match,"
-        f" CAST(char_length({gap}[i]) AS BIGINT) AS gap,"
-        f" right({gap}[i], {CONTEXT if kind == 'id' else 0}) AS left,"
-        f" left({gap}[i + 1], {CONTEXT if kind == 'id' else 0}) AS right))"
+        f"transform({match}, (m, i) -> struct({KINDS.index(kind)} AS kind, i AS index, m AS match,"
+        f" CAST(char_length({gap}[i]) AS BIGINT) AS gap, {left} AS left, {right} AS right))"
     )
 
 
@@ -123,14 +133,19 @@ def _found(docs: DataFrame) -> DataFrame:
     return spans.withColumn("seed", over)
 
 
+def _plain(text: str) -> str:
+    """SQL: lower case, every digit as 0."""
+    return f"translate(lower({text}), '123456789', '000000000')"
+
+
 def _pattern(side: str, words: str) -> str:
     return f"xxhash64('{side}', {words}[0], {words}[1])"
 
 
 def _patterns(tokens: DataFrame) -> DataFrame:
     """row, start, end, instance, seed and pattern of every token, one row per pattern."""
-    before = "regexp_extract(lower(left), r'(\\S+\\s+\\S+)\\s+$', 1)"
-    after = "regexp_extract(lower(right), r'^\\s+(\\S+\\s+\\S+)', 1)"
+    before = f"regexp_extract({_plain('left')}, r'(\\S+\\s+\\S+)\\s+$', 1)"
+    after = f"regexp_extract({_plain('right')}, r'^\\s+(\\S+\\s+\\S+)', 1)"
     pairs = tokens.select(
         "row", "start", "end", "seed", F.xxhash64(F.lower("match")).alias("instance"),
         F.expr(f"split({before}, r'\\s+')").alias("before"), F.expr(f"split({after}, r'\\s+')").alias("after"),
@@ -145,7 +160,7 @@ def _patterns(tokens: DataFrame) -> DataFrame:
 def _places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """pattern, places: how often a pattern's two words stand in the corpus."""
     words = docs.where("text is not null").select(
-        F.split(F.lower(F.col("text").cast("string")), r"\s+").alias("words")
+        F.split(F.expr(_plain("CAST(text AS STRING)")), r"\s+").alias("words")
     )
     pairs = (
         "CASE WHEN size(words) >= 2 THEN transform(sequence(0, size(words) - 2), i -> array("
@@ -157,13 +172,40 @@ def _places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     return met.groupBy("pattern").agg(F.count("*").alias("places"))
 
 
+def _confidences(edges: DataFrame, scores: DataFrame) -> DataFrame:
+    """pattern, confidence of the patterns in use, by the scores of their instances."""
+    return (
+        edges.join(scores, "instance")
+        .groupBy("pattern")
+        .agg(
+            F.count_if(F.col("score") >= ACCEPTED).alias("accepted"),
+            (F.sum(F.col("score") * F.col("times")) / F.max("places")).alias("confidence"),
+        )
+        .where(F.col("accepted") >= LEAST_SEEDS)
+        .select("pattern", F.least("confidence", F.lit(0.999)).alias("confidence"))
+    )
+
+
+def _scores(edges: DataFrame, confidence: DataFrame) -> DataFrame:
+    """instance, score: 1 for a seed, else the chance that a pattern in use holds."""
+    return (
+        edges.join(confidence, "pattern", "left")
+        .groupBy("instance")
+        .agg(
+            F.max("seed").alias("seed"),
+            (1 - F.exp(F.sum(F.log(1 - F.coalesce("confidence", F.lit(0.0)))))).alias("held"),
+        )
+        .select("instance", F.when(F.col("seed"), 1.0).otherwise(F.col("held")).alias("score"))
+    )
+
+
 def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
     """row, start, end of tokens outside base spans that confident patterns hold."""
     graph = staged(_patterns(found.where(F.col("kind") == KINDS.index("id"))), "graph")
     counted = graph.groupBy("pattern").agg(
-        F.countDistinct(F.when(F.col("seed"), F.col("instance"))).alias("seeds"), F.count("*").alias("tokens")
+        F.countDistinct("instance").alias("instances"), F.count("*").alias("tokens")
     )
-    usual = staged(counted.where(F.col("seeds") >= LEAST_SEEDS).select("pattern", "tokens"), "patterns")
+    usual = staged(counted.where(F.col("instances") >= LEAST_SEEDS).select("pattern", "tokens"), "patterns")
     # A pattern's confidence is at most its tokens by its places. Places in a part of
     # the corpus are a lower bound of all, so common pairs of words are ruled out there
     # for certain, and only what may be confident is counted everywhere.
@@ -172,31 +214,25 @@ def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
     open_ = F.coalesce(F.col("places"), F.lit(0)) * CONFIDENT <= F.col("tokens")
     usual = staged(bound.where(open_).select("pattern"), "patterns")
     places = staged(_places(docs, usual), "places")
+    # A seed is accepted wherever it stands, also where no base span lies over it.
+    seeds = graph.groupBy("instance").agg(F.max("seed").alias("seed"))
     edges = staged(
-        graph.join(places, "pattern")
+        graph.drop("seed")
+        .join(places, "pattern")
         .groupBy("instance", "pattern", "places")
-        .agg(F.count("*").alias("times"), F.max("seed").alias("seed")),
+        .agg(F.count("*").alias("times"))
+        .join(seeds, "instance"),
         "edges",
     )
     scores = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
-    confidence = None
-    for _ in range(ROUNDS):
-        confidence = staged(
-            edges.join(scores, "instance")
-            .groupBy("pattern")
-            .agg((F.sum(F.col("score") * F.col("times")) / F.max("places")).alias("confidence"))
-            .withColumn("confidence", F.least("confidence", F.lit(0.999))),
-            "confidence",
-        )
-        scores = (
-            edges.join(confidence, "pattern")
-            .groupBy("instance")
-            .agg(
-                F.max("seed").alias("seed"),
-                (1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("held"),
-            )
-            .select("instance", F.when(F.col("seed"), 1.0).otherwise(F.col("held")).alias("score"))
-        )
+    known = -1
+    while True:
+        confidence = staged(_confidences(edges, scores), "confidence")
+        scores = staged(_scores(edges, confidence), "scores")
+        accepted = scores.where(F.col("score") >= ACCEPTED).count()
+        if accepted == known:
+            break
+        known = accepted
     sure = confidence.where(F.col("confidence") >= CONFIDENT)
     return (
         graph.where("not seed")

@@ -278,6 +278,40 @@ def test_contexts_of_seeds_find_other_identifiers(frame):
     assert all(spans[i] == "id:29:37" for i in range(12, 30))
 
 
+def test_contexts_hold_other_identifiers_and_any_digits(frame):
+    rows = []
+    for i in range(30):
+        token = f"u{i}@x.org" if i < 15 else f"KX{i * 77:05d}Q"
+        rows.append((i, f"paid 2024-05-{i + 1:02d} account: {token} / 99{i + 10} end"))
+    spans = {r.doc_id: r.spans for r in identifiers.span_report(frame(rows)).collect()}
+    assert all(spans[i].startswith("email:25:") and "id:" not in spans[i] for i in range(15))
+    assert all(spans[i] == "id:25:33" for i in range(15, 30))
+
+
+def test_accepted_identifiers_open_further_contexts(frame):
+    def first(token):
+        return f"some words customer account: {token} closed today by us"
+
+    def second(token):
+        return f"we shipped parcel number {token} from our depot"
+
+    def third(token):
+        return f"please quote reference {token} when you call"
+
+    def name(i):
+        return f"KX{i * 77:05d}Q"
+
+    texts = [first(f"u{i}@x.org") for i in range(12)] + [first(name(i)) for i in range(12, 30)]
+    texts += [second(name(i)) for i in range(12, 36)]  # six new ones
+    texts += [third(name(i)) for i in range(28, 40)]  # four new ones
+    texts += [f"page 12345{i} of many here" for i in range(10)]
+    spans = {r.doc_id: r.spans for r in identifiers.span_report(frame(list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts[12:-10], 12):
+        start = text.index("KX")
+        assert spans[i] == f"id:{start}:{start + 8}"
+    assert not any(spans[len(texts) - 1 - k] for k in range(10))
+
+
 def test_pipeline_keeps_clean_and_drops_bad(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
