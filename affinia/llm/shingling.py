@@ -15,7 +15,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C17)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_MIX = np.uint64(0xBF58476D1CE4E5B9)
+MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -30,7 +30,7 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def mixed(value: np.ndarray) -> np.ndarray:
-    value = (value ^ (value >> np.uint64(30))) * _MIX
+    value = (value ^ (value >> np.uint64(30))) * MIX
     return value ^ (value >> np.uint64(31))
 
 
