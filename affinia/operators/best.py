@@ -1,21 +1,17 @@
 """The k most similar items of every item, exactly and without a threshold.
 
-A pair matters only where its score reaches the k-th best of one of its two vectors. So
-every vector has a floor, a score that k others are known to reach, and floors rise while
-neighbours are found:
+A pair matters only where its score reaches the k-th best of a vector. So every vector
+has a floor, a score that k others are known to reach:
 
 1. The rare tokens, whose lists make few meetings, are summed first. Scores are sums of
    positive products, so the k-th best partial sum of a vector is a floor.
-2. All usual tokens are summed. A pair is kept where its sum and the most that its
-   frequent tokens can add reach the lower of the two floors. The k-th best sum of a vector
-   is a higher floor.
-3. Pairs that share frequent tokens only meet in a token where the product of the lengths
-   from there on reaches a floor. The postings of a token that cannot do that with any
-   partner are left out before they meet; the others are cut into slots, so a token held by
-   a third of all vectors is joined by many tasks.
-4. What is left is scored to the end and ranked.
-
-A vector that fewer than k others share a token with has floor 0 and meets all that share
+2. Every vector meets every block of vectors in the memory of a task (see ``pairs``). It
+   sums its usual tokens, and frequent ones while its remaining length reaches its floor;
+   where a sum may still reach the floor, the rest is added. Of a block its k best leave
+   the task, and no other pair is written.
+3. The k best of the blocks are ranked.
+
+A vector that fewer than k others share a token with has no floor and meets all that share
 one; pairs that share nothing score 0 and are no neighbours.
 """
 
@@ -27,18 +23,14 @@ from pyspark.sql import functions as F
 from affinia.operators.features import Vectors
 from affinia.operators.neighbours import BEST, items_of_best
 from affinia.operators.pairs import (
-    CELL_ROWS,
     DIGITS,
     FREQUENT_ROWS,
     _Effort,
-    _postings,
-    _rests,
     _slack,
     _usual_parts,
-    _with_rests,
     best_links,
+    score_in_blocks,
 )
-from affinia.operators.skew import count_total, join_counted
 from affinia.sources.workspace import staged
 
 #: Meetings of a vector in rare tokens, on average, from which the first floors come.
@@ -81,60 +73,6 @@ def floors_of(parts: DataFrame, k: int, digits: int) -> DataFrame:
     return kth.select("vector_id", (F.col("similarity") - F.lit(_slack(digits))).alias("floor"))
 
 
-def _meeting_in_frequent(vectors: Vectors, floors: DataFrame, frequent_rows: int) -> DataFrame:
-    """(vector_id, other_vector) that frequent tokens alone may bring to one of their floors."""
-    postings = (
-        _postings(vectors).where(F.col("rows") > F.lit(frequent_rows))
-        .join(floors, "vector_id", "left")
-        .select("token_id", "vector_id", "head", F.greatest(F.coalesce("floor", F.lit(0.0)), F.lit(0.0)).alias("floor"))
-    )
-    held = staged(postings, "frequent")
-    # ``need`` is the length a partner must have for this vector's floor; with floor 0, any.
-    need = F.col("floor") / F.col("head")
-    tokens = staged(
-        held.groupBy("token_id").agg(
-            F.max("head").alias("longest"), F.min(need).alias("least"), F.count("*").alias("held")
-        ),
-        "tokens",
-    )
-    total = count_total(tokens, "held")
-    able = staged(
-        join_counted(held, tokens, "token_id", "held", total)
-        .withColumn("asks", need <= F.col("longest"))
-        .withColumn("answers", F.col("head") >= F.col("least"))
-        .where("asks or answers")
-        .select("token_id", "vector_id", "head", need.alias("need"), "asks", "answers"),
-        "able",
-    )
-    sizes = staged(
-        able.groupBy("token_id").agg(
-            F.greatest(F.lit(1), F.ceil(F.count_if("asks") / CELL_ROWS)).cast("int").alias("ask_slots"),
-            F.greatest(F.lit(1), F.ceil(F.count_if("answers") / CELL_ROWS)).cast("int").alias("answer_slots"),
-            F.count("*").alias("held"),
-        ),
-        "slots",
-    )
-    placed = join_counted(able, sizes, "token_id", "held", count_total(sizes, "held"))
-
-    def side(flag: str, own: str, others: str, prefix: str) -> DataFrame:
-        """Rows in their own slot, met with each slot of the other side."""
-        slot = F.pmod(F.xxhash64("vector_id"), F.col(f"{own}_slots")).cast("int")
-        every = F.sequence(F.lit(0), F.col(f"{others}_slots") - 1)
-        return placed.where(flag).select(
-            "token_id", F.col("vector_id").alias(f"{prefix}_vector"), F.col("head").alias(f"{prefix}_head"),
-            F.col("need").alias(f"{prefix}_need"), slot.alias(f"{own}_slot"), F.explode(every).alias(f"{others}_slot"),
-        )
-
-    asking = side("asks", "ask", "answer", "a")
-    answering = side("answers", "answer", "ask", "b").drop("b_need")
-    met = asking.join(answering, ["token_id", "ask_slot", "answer_slot"]).where(
-        (F.col("a_vector") != F.col("b_vector")) & (F.col("b_head") >= F.col("a_need"))
-    )
-    return met.select(
-        F.least("a_vector", "b_vector").alias("vector_id"), F.greatest("a_vector", "b_vector").alias("other_vector")
-    ).distinct()
-
-
 def best_vectors(
     vectors: Vectors,
     k: int = BEST,
@@ -151,21 +89,16 @@ def best_vectors(
     size = vectors.frame.count()
     seeds = _effort(vectors.vocabulary, seed_rows or _seed_rows(vectors.vocabulary, size, frequent_rows))
     floors = staged(floors_of(_usual_parts(vectors, seeds, None, 0.0), k, digits), "floors")
-    effort = _effort(vectors.vocabulary, frequent_rows)
-    if effort.any_frequent:
-        rests = staged(_rests(vectors, frequent_rows), "rests")
-        usual = staged(_usual_parts(vectors, effort, rests, 0.0, floors), "usual")
-        raised = staged(
-            floors_of(usual, k, digits).unionByName(floors).groupBy("vector_id").agg(F.max("floor").alias("floor")),
-            "floors",
-        )
-        alone = _meeting_in_frequent(vectors, raised, frequent_rows).withColumn("part", F.lit(0.0))
-        pairs = usual.unionByName(alone).groupBy("vector_id", "other_vector").agg(F.sum("part").alias("part"))
-        parts = _with_rests(pairs, rests)
-    else:
-        parts = _usual_parts(vectors, effort, None, 0.0, floors)
+    # The least score that is not rounded to 0.
+    above = _slack(digits) / 2
+    parts = score_in_blocks(vectors, above, frequent_rows, best=k, floors=floors, digits=digits)
     links = parts.select("vector_id", "other_vector", F.round("part", digits).alias("similarity")).where("similarity > 0")
-    return best_links(staged(links, "links"), k).select("vector_id", "position", "other_vector", "similarity")
+    best = Window.partitionBy("vector_id").orderBy(F.desc("similarity"), "other_vector")
+    return (
+        links.withColumn("position", F.row_number().over(best))
+        .where(F.col("position") <= F.lit(k))
+        .select("vector_id", "position", "other_vector", "similarity")
+    )
 
 
 def best_neighbours(

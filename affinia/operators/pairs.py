@@ -1,20 +1,18 @@
-"""Pairs of similar items, exact, without comparing every pair.
+"""Pairs of similar items, exact, without writing out the pairs that are compared.
 
 Method: an inverted-index join with a prefix filter on frequent tokens
-(Chaudhuri, Ganti and Kaushik 2006; Bayardo, Ma and Srikant 2007).
+(Chaudhuri, Ganti and Kaushik 2006; Bayardo, Ma and Srikant 2007), over pairs of blocks.
 
-Usual tokens are held by a bounded number of vectors. The products of their
-weights are summed per pair. Frequent tokens are not treated like that, however
-large a share of the vectors holds them:
+Vectors are cut into blocks by a hash of their id, and every two blocks meet in one cell.
+The right block of a cell becomes an inverted index in the memory of its task, the left
+block's vectors go through it one after another. So what is shuffled are the vectors,
+once for every block, and no meeting of two vectors in a token is ever written.
 
-* For pairs that share a usual token, the frequent rest can add at most the
-  product of the two rests' lengths. Pairs that fall short are dropped; the rest
-  of the others is added exactly, from the two short remainders.
-* Pairs that share frequent tokens only must get their whole score from them.
-  Tokens run from rare to frequent, and from a shared token on two vectors
-  contribute at most the product of their remaining lengths, so a pair meets in
-  a token only where that product reaches the threshold. Frequent tokens weigh
-  little, so most vectors that hold one never take part.
+Tokens of a vector run from rare to frequent. From a token on, a vector can add at most
+its remaining length to a score. A vector first sums its usual tokens, and frequent ones
+while its remaining length reaches the threshold: no pair that meets later can still get
+there. The rest is added, exactly, only for vectors with a sum that the remaining length
+may lift to the threshold.
 
 Nothing at or above the threshold is lost.
 """
@@ -34,7 +32,6 @@ from affinia.functions.vectors import sparse_dot
 from affinia.operators.edge_store import write_edge_store
 from affinia.operators.features import FEATURE_COLUMNS, Vectors, build_vectors
 from affinia.operators.layout import order_edges
-from affinia.operators.skew import count_total, join_counted
 from affinia.sources.sinks import path_exists, write_new
 from affinia.sources.workspace import staged
 
@@ -46,8 +43,17 @@ DIGITS = 9
 FREQUENT_ROWS = 8192
 # Scoring a pair from two remainders costs about as much as this many meetings.
 SCORING_COST = 25
-# Postings of one band of a frequent token in one cell.
-CELL_ROWS = 4096
+# Vectors, and entries of vectors, of one block at most: a block's index lies in the memory
+# of a task (4 million entries: about 200 MB while it is sorted).
+CELL_ROWS = 65536
+CELL_ENTRIES = 4_000_000
+# Vectors of a block at least, where there are enough; smaller blocks are only made for
+# more tasks.
+LEAST_CELL_ROWS = 1024
+# Cells per core that blocks are made small for.
+CELLS_PER_CORE = 6
+# Sums held at a time, and meetings added at a time.
+SUMS = 1 << 21
 # Remaining-length bands of a frequent token.
 BANDS = 8
 # Meetings per task while lists are sent and while pairs are summed.
@@ -318,106 +324,194 @@ def summing(
     return summed
 
 
-def _rests(vectors: Vectors, frequent_rows: int) -> DataFrame:
-    """(vector_id, tokens, weights, length) of the frequent tokens of each vector that has any."""
-    frequent = F.filter("entries", lambda entry: entry["rows"] > F.lit(frequent_rows))
-    kept = vectors.frame.select("vector_id", frequent.alias("kept")).where(F.size("kept") > 0)
-    square = F.aggregate(
-        "kept", F.lit(0.0), lambda total, entry: total + entry["weight"] * entry["weight"]
-    )
-    return kept.select(
-        "vector_id",
-        F.col("kept.token_id").alias("tokens"),
-        F.col("kept.weight").alias("weights"),
-        F.sqrt(square).alias("length"),
-    )
-
-
-def _frequent_cells(
-    vectors: Vectors, reach: DataFrame, frequent_rows: int, floor: float
-) -> tuple[DataFrame, DataFrame]:
-    """Left and right sides of the join on frequent tokens, cut into small cells.
+def score_in_blocks(
+    vectors: Vectors,
+    floor: float,
+    frequent_rows: int,
+    *,
+    best: int | None = None,
+    floors: DataFrame | None = None,
+    digits: int = DIGITS,
+) -> DataFrame:
+    """(vector_id, other_vector, part): pairs with a score of at least ``floor``, each once.
 
-    Two bands whose product must fall short share no cell. A band with many
-    postings is cut into slots, and each pair of slots is one cell, so a token
-    held by a third of all vectors is joined by many tasks.
+    With ``best`` both directions are met and each vector keeps, of every block, its best
+    others that reach ``floor``, or its own in ``floors`` (vector_id, floor) where that is
+    higher; scores are compared as rounded to ``digits``, equal ones by id.
     """
-    last = _last_band(floor)
-    bands = [F.col(f"band_{b}") for b in range(last + 1)]
-    frequent = F.col("rows") > F.lit(frequent_rows)
-    plan = staged(
-        reach.where(frequent).select(
-            "token_id",
-            F.array(*[F.ceil(band / F.lit(CELL_ROWS)).cast("int") for band in bands]).alias("slots"),
-            sum(bands).alias("held"),
-        ),
-        "cells",
-    )
-    banded = (
-        _postings(vectors)
-        .where(frequent & (F.col("head") >= F.lit(floor)))
-        .select("vector_id", "token_id", "head", _band(floor).alias("band"))
+    size = vectors.frame.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(F.size("entries")), F.lit(0)).alias("entries")
+    ).first()
+    cores = vectors.frame.sparkSession.sparkContext.defaultParallelism
+    wanted = ceil((CELLS_PER_CORE * cores * (2 if best is None else 1)) ** 0.5)
+    blocks = max(
+        1,
+        ceil(size["rows"] / CELL_ROWS),
+        ceil(size["entries"] / CELL_ENTRIES),
+        min(wanted, size["rows"] // LEAST_CELL_ROWS),
     )
-    placed = join_counted(banded, plan, "token_id", "held", count_total(plan, "held")).withColumn(
-        "slot", F.pmod(F.xxhash64("vector_id"), F.get("slots", F.col("band"))).cast("int")
-    )
-    partner_bands = F.filter(
-        F.sequence(F.lit(0), F.lit(last) - F.col("band")),
-        lambda other: F.get(F.col("slots"), other) > 0,
-    )
-    partners = F.flatten(
-        F.transform(
-            partner_bands,
-            lambda other: F.transform(
-                F.sequence(F.lit(0), F.get(F.col("slots"), other) - 1),
-                lambda slot: F.struct(other.alias("band"), slot.alias("slot")),
-            ),
+    last = F.lit(blocks - 1)
+    block = F.pmod(F.xxhash64("vector_id"), F.lit(blocks)).cast("int")
+    frame, least = vectors.frame, F.lit(floor)
+    if floors is not None:
+        known = floors.select("vector_id", F.col("floor").alias("own_floor"))
+        frame = frame.join(known, "vector_id", "left")
+        least = F.greatest(least, F.coalesce("own_floor", least))
+    first = F.size(
+        F.filter(
+            "entries", lambda entry: (entry["rows"] <= F.lit(frequent_rows)) | (entry["head"] >= F.col("floor"))
         )
     )
-    kept = ("vector_id", "token_id", "head")
-    spread = placed.select(*kept, "band", "slot", F.explode(partners).alias("partner"))
-    own = F.struct("band", "slot")
-    left = spread.select(*kept, own.alias("left_cell"), F.col("partner").alias("right_cell"))
-    right = spread.select(*kept, F.col("partner").alias("left_cell"), own.alias("right_cell"))
-    return left, right
+    placed = (
+        frame.withColumn("floor", least)
+        .withColumn("block", block)
+        .withColumn("first", first)
+        .select(
+            "vector_id", "block", "floor", "first",
+            F.coalesce(F.get("entries.head", F.col("first")), F.lit(0.0)).alias("tail"),
+            F.col("entries.token_id").alias("tokens"), F.col("entries.weight").alias("weights"),
+        )
+    )
 
+    def side(number: int, partners: Column) -> DataFrame:
+        """Vectors in each cell of their block, as rows (1) or in the index (0)."""
+        met = placed.select("*", F.explode(partners).alias("partner"))
+        row, column = ("block", "partner") if number else ("partner", "block")
+        cell = F.col(row) * F.lit(blocks) + F.col(column)
+        return met.select(
+            cell.alias("cell"), F.lit(number).alias("side"), (F.col(row) == F.col(column)).alias("own"),
+            "vector_id", "floor", "first", "tail", "tokens", "weights",
+        )
+
+    rows = side(1, F.sequence(F.lit(0) if best else F.col("block"), last))
+    index = side(0, F.sequence(F.lit(0), last if best else F.col("block")))
+    cells = blocks * blocks if best else blocks * (blocks + 1) // 2
+    met = index.unionByName(rows).repartition(cells, "cell").sortWithinPartitions("cell", "side", "vector_id")
+    return met.mapInArrow(multiplying(best, digits, SUMS), "vector_id long, other_vector long, part double")
+
+
+def multiplying(
+    best: int | None, digits: int, most: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function that scores cells: the vectors of the index come first, then the rows.
 
-def _frequent_pairs(
-    vectors: Vectors, reach: DataFrame, frequent_rows: int, floor: float
-) -> DataFrame:
-    """(vector_id, other_vector) that frequent tokens alone may bring to the threshold."""
-    left, right = _frequent_cells(vectors, reach, frequent_rows, floor)
-    met = left.alias("l").join(
-        right.alias("r"),
-        (F.col("l.token_id") == F.col("r.token_id"))
-        & (F.col("l.left_cell") == F.col("r.left_cell"))
-        & (F.col("l.right_cell") == F.col("r.right_cell"))
-        & (F.col("l.vector_id") < F.col("r.vector_id"))
-        & (F.col("l.head") * F.col("r.head") >= F.lit(floor)),
-    )
-    return met.select(
-        F.col("l.vector_id").alias("vector_id"), F.col("r.vector_id").alias("other_vector")
-    )
+    As in ``summing``, its parts are inside, and travel with it. ``most`` bounds the sums
+    held and the meetings added at a time.
+    """
+
+    class Index:
+        """Postings of one block by token."""
+
+        def __init__(self, ids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, weights: np.ndarray):
+            order = np.argsort(tokens, kind="stable")
+            self.ids = ids
+            self.tokens, self.starts, self.sizes = np.unique(tokens[order], return_index=True, return_counts=True)
+            self.places = np.repeat(np.arange(len(ids)), sizes)[order].astype(np.int32)
+            self.weights = weights[order]
+
+        def add(self, sums: np.ndarray, rows: np.ndarray, tokens: np.ndarray, weights: np.ndarray) -> None:
+            """Adds the products of entries (row, token, weight) with their postings."""
+            at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+            hit = self.tokens[at] == tokens
+            at, rows, weights = at[hit], rows[hit], weights[hit]
+            sizes, width = self.sizes[at], len(self.ids)
+            ends = np.cumsum(sizes)
+            begin = 0
+            while begin < len(at):
+                done = ends[begin - 1] if begin else 0
+                stop = max(begin + 1, int(np.searchsorted(ends, done + most, side="right")))
+                part = slice(begin, stop)
+                size = sizes[part]
+                met = np.arange(ends[stop - 1] - done) + np.repeat(
+                    self.starts[at[part]] - (ends[part] - size - done), size
+                )
+                # Sums of the rows from the first to the last of this part.
+                low, high = int(rows[begin]), int(rows[stop - 1]) + 1
+                keys = np.repeat((rows[part] - low) * width, size) + self.places[met]
+                products = np.repeat(weights[part], size) * self.weights[met]
+                sums[low:high] += np.bincount(keys, products, (high - low) * width).reshape(-1, width)
+                begin = stop
+
+    def lists(column: pa.ListArray) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False)
+
+    def parts_of(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        found = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        made = {name: lists(found[name]) for name in ("tokens", "weights")}
+        made["sizes"] = found["tokens"].value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        made["own"] = found["own"].to_numpy(zero_copy_only=False)
+        for name in ("cell", "side", "vector_id", "floor", "first", "tail"):
+            made[name] = found[name].to_numpy()
+        return made
+
+    def best_of(sums: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """Of each row's hits the ``best`` highest; equal ones by place, which is by id."""
+        for row in np.flatnonzero(hits.sum(axis=1) > best):
+            places = np.flatnonzero(hits[row])
+            scores = np.floor(sums[row, places] * 10.0**digits + 0.5)
+            least = np.partition(scores, len(scores) - best)[len(scores) - best]
+            ties = np.flatnonzero(scores == least)
+            over = int((scores >= least).sum()) - best
+            drop = scores < least
+            drop[ties[len(ties) - over :]] = True
+            hits[row, places[drop]] = False
+        return hits
+
+    def score(index: Index, part: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        width = len(index.ids)
+        ends = np.cumsum(part["sizes"])
+        step = max(1, most // width)
+        for low in range(0, len(ends), step):
+            high = min(len(ends), low + step)
+            span = slice(ends[low] - part["sizes"][low], ends[high - 1])
+            sizes, ids, floor = (part[name][low:high] for name in ("sizes", "vector_id", "floor"))
+            number = np.repeat(np.arange(high - low), sizes)
+            place = np.arange(len(number)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            tokens, weights = part["tokens"][span], part["weights"][span]
+            early = place < np.repeat(part["first"][low:high], sizes)
+            sums = np.zeros((high - low, width))
+            index.add(sums, number[early], tokens[early], weights[early])
+            tail = part["tail"][low:high]
+            # Rows where what is left may lift some sum to the floor; rounding is allowed for.
+            open_rows = (tail > 0) & (sums.max(axis=1) + tail >= floor - 1e-12)
+            late = ~early & np.repeat(open_rows, sizes)
+            if late.any():
+                index.add(sums, number[late], tokens[late], weights[late])
+            hits = sums >= floor[:, None]
+            if part["own"][low]:
+                hits &= (ids[:, None] != index.ids) if best else (ids[:, None] < index.ids)
+            if best:
+                hits = best_of(sums, hits)
+            row, place = np.nonzero(hits)
+            if len(row):
+                left, right = ids[row], index.ids[place]
+                if not best:
+                    left, right = np.minimum(left, right), np.maximum(left, right)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(left), pa.array(right), pa.array(sums[row, place])],
+                    ["vector_id", "other_vector", "part"],
+                )
 
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, index = None, [], None
+        for batch in batches:
+            key = batch.column(batch.schema.get_field_index("cell")).to_numpy().astype(np.int64) * 2
+            key += batch.column(batch.schema.get_field_index("side")).to_numpy()
+            bounds = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+            for start, stop in zip(bounds, bounds[1:], strict=False):
+                if start == stop:
+                    continue
+                part = parts_of(batch.slice(start, stop - start))
+                if part["cell"][0] != cell:
+                    cell, held, index = part["cell"][0], [], None
+                if part["side"][0] == 0:
+                    held.append([part[name] for name in ("vector_id", "sizes", "tokens", "weights")])
+                elif held or index is not None:
+                    if index is None:
+                        index, held = Index(*(np.concatenate(x) for x in zip(*held, strict=True))), []
+                    yield from score(index, part)
 
-def _with_rests(pairs: DataFrame, rests: DataFrame) -> DataFrame:
-    """Adds the exact contribution of the frequent tokens to ``part``."""
-    left = rests.select("vector_id", F.col("tokens").alias("lt"), F.col("weights").alias("lw"))
-    right = rests.select(
-        F.col("vector_id").alias("other_vector"),
-        F.col("tokens").alias("rt"),
-        F.col("weights").alias("rw"),
-    )
-    more = sparse_dot(F.col("lt"), F.col("lw"), F.col("rt"), F.col("rw"))
-    return (
-        pairs.join(left, "vector_id", "left")
-        .join(right, "other_vector", "left")
-        .select(
-            "vector_id",
-            "other_vector",
-            (F.col("part") + F.coalesce(more, F.lit(0.0))).alias("part"),
-        )
-    )
+    return scored
 
 
 def similar_vectors(
@@ -436,22 +530,7 @@ def similar_vectors(
     floor = max(threshold - _slack(digits), 0.0) or threshold / 2
     reach = _reach(vectors, floor)
     effort = _plan_effort(vectors.vocabulary, reach, frequent_rows)
-    if not effort.any_frequent:
-        parts = _usual_parts(vectors, effort, None, floor)
-    else:
-        rests = staged(_rests(vectors, effort.frequent_rows), "rests")
-        # A pair dropped by its bound may come back here with no usual part; its
-        # score then only gets lower still, and it is dropped at the end.
-        alone = _frequent_pairs(vectors, reach, effort.frequent_rows, floor).select(
-            "vector_id", "other_vector", F.lit(0.0).alias("part")
-        )
-        open_pairs = (
-            _usual_parts(vectors, effort, rests, floor)
-            .unionByName(alone)
-            .groupBy("vector_id", "other_vector")
-            .agg(F.sum("part").alias("part"))
-        )
-        parts = _with_rests(open_pairs, rests)
+    parts = score_in_blocks(vectors, floor, effort.frequent_rows)
     links = parts.select(
         "vector_id", "other_vector", F.round("part", digits).alias("similarity")
     ).where(F.col("similarity") >= F.lit(float(threshold)))
@@ -580,6 +659,55 @@ def _write_out_copies(links: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
+def pairs_by_score(index: SimilarityIndex) -> DataFrame:
+    """(similarity, n, first_item, last_other): how many pairs of items have each score.
+
+    The same as counting the rows of ``SimilarityIndex.edges`` by score, with their least
+    item_id and their greatest other_id, but from the links and the sizes of the groups of
+    copies: a link stands for all pairs of the two groups, and none of them is written out.
+    """
+    if index.members is None:
+        return index.edges().groupBy("similarity").agg(
+            F.count("*").alias("n"), F.min("item_id").alias("first_item"), F.max("other_id").alias("last_other")
+        )
+    # Rows of an id that comes more than once are no pairs with each other; and a group's
+    # links are visited once for each row of its first id, as in ``_write_out_copies``.
+    once = index.members.groupBy("vector_id", "item_id").agg(F.count("*").alias("rows"))
+    groups = staged(
+        once.groupBy("vector_id").agg(
+            F.sum("rows").alias("held"),
+            F.sum(F.col("rows") * F.col("rows")).alias("same"),
+            F.sum(F.when(F.col("item_id") == F.col("vector_id"), F.col("rows")).otherwise(0)).alias("heads"),
+            F.min("item_id").alias("low"),
+            F.max("item_id").alias("high"),
+        ),
+        "groups",
+    )
+    names = ("vector_id", "held", "same", "heads", "low", "high")
+    left = groups.select(*[F.col(name).alias(name if name == "vector_id" else f"l_{name}") for name in names])
+    right = groups.select(
+        *[F.col(name).alias("other_vector" if name == "vector_id" else f"r_{name}") for name in names]
+    )
+    within = F.col("vector_id") == F.col("other_vector")
+    pairs = F.when(
+        within, ((F.col("l_held") * F.col("l_held") - F.col("l_same")) / F.lit(2)).cast("long")
+    ).otherwise(F.col("l_held") * F.col("r_held"))
+    met = (
+        index.links.join(left, "vector_id")
+        .join(right, "other_vector")
+        .select(
+            "similarity",
+            (pairs * F.col("l_heads") * F.col("r_heads")).alias("pairs"),
+            F.least("l_low", "r_low").alias("low"),
+            F.greatest("l_high", "r_high").alias("high"),
+        )
+        .where("pairs > 0")
+    )
+    return met.groupBy("similarity").agg(
+        F.sum("pairs").alias("n"), F.min("low").alias("first_item"), F.max("high").alias("last_other")
+    )
+
+
 def similar_pairs(
     items: DataFrame,
     threshold: float,
