@@ -32,6 +32,7 @@ from affinia.operators.neighbours import (
 from affinia.operators.pairs import (
     SimilarityIndex,
     build_index,
+    pairs_by_score,
     score_pairs,
     similar_pairs,
 )
@@ -246,14 +247,8 @@ def top_k_among_copies(spark: SparkSession, folder: str) -> DataFrame:
 
 def pairs_among_copies(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs per score where items are mostly copies; only the counts are written out."""
-    found = similar_pairs(
-        stored_items(spark, folder), COPY_THRESHOLD, columns=COPY_COLUMNS, digits=DIGITS
-    )
-    return found.groupBy("similarity").agg(
-        F.count("*").alias("n"),
-        F.min("item_id").alias("first_item"),
-        F.max("other_id").alias("last_other"),
-    )
+    vectors = build_vectors(stored_items(spark, folder), COPY_COLUMNS)
+    return pairs_by_score(build_index(vectors, COPY_THRESHOLD, digits=DIGITS))
 
 
 COPIES_SQL = PAIRS_SQL.replace(
