@@ -44,14 +44,15 @@ FREQUENT_ROWS = 8192
 # Scoring a pair from two remainders costs about as much as this many meetings.
 SCORING_COST = 25
 # Vectors, and entries of vectors, of one block at most: a block's index lies in the memory
-# of a task (4 million entries: about 200 MB while it is sorted).
-CELL_ROWS = 65536
-CELL_ENTRIES = 4_000_000
+# of a task (4 million entries: about 200 MB while it is sorted). Every vector is written to
+# disk once for each block, so blocks are as few as memory and cores allow.
+CELL_ROWS = 1 << 18
+CELL_ENTRIES = 6_000_000
 # Vectors of a block at least, where there are enough; smaller blocks are only made for
 # more tasks.
 LEAST_CELL_ROWS = 1024
 # Cells per core that blocks are made small for.
-CELLS_PER_CORE = 6
+CELLS_PER_CORE = 2
 # Sums held at a time, and meetings added at a time.
 SUMS = 1 << 21
 # Remaining-length bands of a frequent token.
@@ -386,7 +387,8 @@ def score_in_blocks(
     rows = side(1, F.sequence(F.lit(0) if best else F.col("block"), last))
     index = side(0, F.sequence(F.lit(0), last if best else F.col("block")))
     cells = blocks * blocks if best else blocks * (blocks + 1) // 2
-    met = index.unionByName(rows).repartition(cells, "cell").sortWithinPartitions("cell", "side", "vector_id")
+    # By ranges: a hash would deal several of so few cells to one task.
+    met = index.unionByName(rows).repartitionByRange(cells, "cell").sortWithinPartitions("cell", "side", "vector_id")
     return met.mapInArrow(multiplying(best, digits, SUMS), "vector_id long, other_vector long, part double")
 
 

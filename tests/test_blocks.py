@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import glob
+import math
 import os
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -84,3 +86,13 @@ def test_pairs_by_score_counts_what_edges_hold(spark, monkeypatch):
     assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, expected))
     monkeypatch.setattr(pairs, "_write_out_copies", None)
     assert pairs_by_score(index).count() == len(expected) > 1
+
+
+def test_a_vector_is_sent_no_more_often_than_cores_and_memory_ask_for(spark, monkeypatch):
+    """Every block more is one more copy of all vectors on disk."""
+    vectors = build_vectors(spark.createDataFrame(rows_of(3, 300), SCHEMA))
+    monkeypatch.setattr(pairs, "LEAST_CELL_ROWS", 1)
+    cores = spark.sparkContext.defaultParallelism
+    text = pairs.score_in_blocks(vectors, 0.5, 4096)._jdf.queryExecution().analyzed().toString()
+    blocks = int(re.search(r"xxhash64\(vector_id#\d+L?, 42\), cast\((\d+) as bigint", text).group(1))
+    assert blocks <= math.ceil((4 * cores) ** 0.5)
