@@ -188,6 +188,52 @@ def test_toxicity_on_rows_held_out(spark, frame, odd):
     assert toxicity.score_texts(frame([]), model).collect() == []
 
 
+def test_every_labelled_row_counts_beyond_the_first_fit(spark, monkeypatch):
+    rows = [(i, ("vile " if i % 2 else "kind ") + f"word{i % 7} " * 5) for i in range(400)]
+    # Rows of ids from 400 on show a second mark that the first fit hardly sees.
+    rows += [(i, ("foul " if i % 2 else "mild ") + f"word{i % 7} " * 5) for i in range(400, 4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    seen = {}
+
+    def marked(texts, known):
+        return {r.doc_id: r.toxic for r in texts.join(known, "doc_id").select("doc_id", "toxic").collect()}
+
+    def learn(model, texts, known, *rest):
+        seen.update(marked(texts, known))
+        return learn_from_all(model, texts, known, *rest)
+
+    def calibrate(model, texts, known):
+        checked = marked(texts, known)
+        assert checked and not set(seen) & set(checked)
+        seen.update(checked)
+        calibrated(model, texts, known)
+
+    learn_from_all, calibrated = toxicity.learn_from_all, toxicity.calibrate
+    monkeypatch.setattr(toxicity, "learn_from_all", learn)
+    monkeypatch.setattr(toxicity, "calibrate", calibrate)
+    model = toxicity.fit(docs, labels, sample={1: 20, 0: 20})
+    assert seen == {i: i % 2 for i, _ in rows if crc32(str(i).encode()) % 5}
+    held = docs.where(toxicity.held_out(docs.doc_id))
+    judged = [(r.score >= 0.5) == bool(r.doc_id % 2) for r in toxicity.score_texts(held, model).collect()]
+    assert np.mean(judged) > 0.95
+
+
+def test_moves_are_averaged_over_the_groups_that_made_them(spark, monkeypatch):
+    model = toxicity.fresh(np.random.default_rng(3))
+    rows = [(i, f"a{i % 3} b c d e{i}") for i in range(12)]
+    codes = [toxicity.codes_of(text) for _, text in rows]
+    texts = spark.createDataFrame([*rows, (99, "not marked")], "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "ROUNDS", 1)
+    alone = toxicity._flat(toxicity._values(toxicity.learn_from_all(model, texts, known, {0: 6, 1: 6}, 1)))
+    moves = toxicity.learned(model, codes, np.array([i % 2 for i in range(12)]), np.ones(12), 0)
+    assert np.abs(moves).max() > 0
+    assert np.allclose(alone, toxicity._flat(toxicity._values(model)) + moves, atol=1e-6)
+    first, again = (toxicity._values(toxicity.learn_from_all(model, texts, known, {0: 6, 1: 6}, 4)) for _ in range(2))
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))
+
+
 def test_no_labels_give_no_model(spark, frame):
     none = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
     assert toxicity.fit(frame([(1, "x")]), none) is None
