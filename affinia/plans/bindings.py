@@ -35,7 +35,8 @@ def titles(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_size").alias("duration"),
         F.split("p_name", r"\s+").alias("genres"),
     )
-    return parts.join(first_order, "title_id", "left")
+    # Written first, so that its shuffles of all lines are gone before others begin.
+    return parts.join(staged(first_order, "first-orders"), "title_id", "left")
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
