@@ -2,17 +2,19 @@
 
 Unit vectors lie on a sphere, where the cosine c and the distance d say the same:
 d = sqrt(2 - 2c). Distances obey the triangle inequality, so for a pivot p a vector v is at
-least |d(q, p) - d(v, p)| away from a query q and at most d(q, p) + d(v, p).
+least |d(q, p) - d(v, p)| away from a query q.
 
 1. Copies are folded: equal vectors become one with a count.
 2. ``pivots`` vectors are drawn by hash. Each vector goes to the cell of its nearest pivot,
    and in it to a band of distance from the pivot. How many vectors each of the
-   pivots x BANDS blocks holds is a table of a fixed size; it is all that reaches the driver.
-3. From that table alone each query knows a distance within which k others lie: the blocks
-   with the lowest upper bounds that hold k together.
-4. Each query meets its own block, which gives a better bound.
-5. Each query then visits only blocks whose band reaches into its bound, and ranks what it
-   meets there. Blocks are cut into slots, so a crowded one is met by many tasks.
+   pivots x BANDS groups holds is a table of a fixed size; it is all that reaches the driver.
+3. Groups in a row make blocks of about the same size; a crowded group is cut by hash.
+4. Each block meets itself in the memory of a task, where the k-th best of a vector's own
+   group, and then of its block, bounds how far its k nearest are.
+5. Every two blocks meet in one task, in both directions. Only groups whose distances from
+   their pivot reach into a query's bound are compared, as products of matrices. Of a block
+   a query's best leave the task; no other pair is written, and vectors are shuffled once
+   for each block.
 
 Nothing nearer than the k-th is missed. (After Lu, Shen, Chen and Ooi, "Efficient Processing
 of k Nearest Neighbor Joins using MapReduce", 2012.)
@@ -20,8 +22,12 @@ of k Nearest Neighbor Joins using MapReduce", 2012.)
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from math import ceil
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinia.functions.vectors import dense_dot
@@ -31,27 +37,26 @@ from affinia.sources.workspace import staged
 PIVOTS = 48
 #: Bands of distance from a pivot; distances on the sphere go from 0 to 2.
 BANDS = 32
-#: Vectors of a block that one slot holds.
-SLOT_ROWS = 512
-
-
-def _unit(vector: Column) -> Column:
-    length = F.sqrt(dense_dot(vector, vector))
-    return F.transform(vector, lambda x: x.cast("double") / length)
-
-
-def _distance(cosine: Column) -> Column:
-    return F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * cosine))
+#: Numbers of the vectors of one block at most (64 MB as doubles; a task holds two blocks).
+BLOCK_NUMBERS = 1 << 23
+#: Vectors of a block at least, where blocks are only made for more tasks.
+LEAST_BLOCK_ROWS = 1024
+#: Pairs of blocks per core that blocks are made small for.
+CELLS_PER_CORE = 2
+#: Cosines held at a time.
+COSINES = 1 << 22
+#: Allowed for rounding of distances: that of a vector from itself may come out as 2e-8.
+ROUNDING = 1e-7
 
 
 def fold_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[DataFrame, DataFrame]:
-    """(vector_id, copies, unit) of distinct directions, and (item_id, vector_id, copies)."""
+    """(vector_id, copies, vector) of distinct vectors, and (item_id, vector_id, copies)."""
     plain = vectors.select(F.col(id_column).alias("item_id"), F.col(vector_column).alias("vector"))
     with_length = plain.where(dense_dot(F.col("vector"), F.col("vector")) > 0)
     # The vector itself is the key: its hash could meet another's.
     folded = staged(
         with_length.groupBy("vector").agg(F.min("item_id").alias("vector_id"), F.count("*").alias("copies"))
-        .select("vector_id", "copies", _unit(F.col("vector")).alias("unit"), F.xxhash64("vector").alias("sign"), "vector"),
+        .select("vector_id", "copies", F.xxhash64("vector").alias("sign"), "vector"),
         "directions",
     )
     alone = folded.where("copies = 1").select(F.col("vector_id").alias("item_id"), "vector_id", "copies")
@@ -62,70 +67,149 @@ def fold_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> tupl
         groups, (F.col("sign") == F.col("same_sign")) & (F.col("vector") == F.col("same"))
     )
     members = staged(alone.unionByName(shared.select("item_id", "vector_id", "copies")), "members")
-    return folded.select("vector_id", "copies", "unit"), members
+    return folded.select("vector_id", "copies", "vector"), members
 
 
-def _placed(folded: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Vectors with their distances from all pivots, and their cell and band."""
-    count, width = pivots.shape
-    flat = F.lit(pivots.ravel())
-    numbers = F.sequence(F.lit(0), F.lit(count - 1))
-    distances = F.transform(
-        numbers, lambda j: _distance(dense_dot(F.col("unit"), F.slice(flat, j * width + 1, F.lit(width))))
-    )
-    nearest = F.array_min("away")
-    return (
-        folded.withColumn("away", distances)
-        .withColumn("cell", (F.array_position("away", nearest) - 1).cast("int"))
-        .withColumn("dist", nearest)
-        .withColumn("band", F.least(F.floor(F.col("dist") * (BANDS / 2)), F.lit(BANDS - 1)).cast("int"))
-    )
+def placing(pivots: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function that adds the nearest pivot and the band to (vector_id, vector)."""
+    bands = BANDS
 
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            vectors = flat.reshape(batch.num_rows, -1)
+            with np.errstate(all="ignore"):
+                units = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+                away = np.nan_to_num(np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (units @ pivots.T))))
+            pivot = away.argmin(axis=1)
+            band = np.minimum(away.min(axis=1) * (bands / 2), bands - 1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array(pivot.astype(np.int32)), pa.array(band.astype(np.int32)),
+                    batch.column(1),
+                ],
+                ["vector_id", "pivot", "band", "vector"],
+            )
 
-def _table(blocks: list[tuple[int, int, int]]) -> Column:
-    """The blocks (cell, band, rows) as one constant: rows of three numbers."""
-    return F.lit(np.array(blocks, np.int64).ravel())
-
-
-def _bound_by_counts(blocks: list[tuple[int, int, int]], k: int) -> Column:
-    """A distance within which k others lie, by the blocks' counts alone; 2 where there are fewer."""
-    table = _table(blocks)
-
-    def entry(i: Column) -> Column:
-        cell, band, rows = (F.get(table, i * 3 + part) for part in range(3))
-        upper = F.get("away", cell.cast("int")) + (band + 1) * (2.0 / BANDS)
-        return F.struct(upper.alias("upper"), rows.alias("rows"))
-
-    ordered = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(len(blocks) - 1)), entry))
-    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(2.0).alias("bound"))
-    # The vector itself is in one of the blocks, so k + 1 are needed.
-    found = F.aggregate(
-        ordered,
-        start,
-        lambda held, x: F.struct(
-            (held["seen"] + x["rows"]).alias("seen"),
-            F.when(held["seen"] > k, held["bound"])
-            .when(held["seen"] + x["rows"] > k, F.least(x["upper"], F.lit(2.0)))
-            .otherwise(F.lit(2.0))
-            .alias("bound"),
-        ),
-    )
-    return found["bound"]
+    return place
 
 
-def _visits(blocks: list[tuple[int, int, int]]) -> Column:
-    """Places in the table of the blocks whose band reaches into a query's bound."""
-    table = _table(blocks)
+def ranking(
+    pivots: np.ndarray, k: int, digits: int, most: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function that finds the best of each vector of a cell.
 
-    def reaches(i: Column) -> Column:
-        away = F.get("away", F.get(table, i * 3).cast("int"))
-        low = F.get(table, i * 3 + 1) * (2.0 / BANDS)
-        # The last band and rounding of distances: a little wider than the band.
-        return (low - F.lit(1e-9) <= away + F.col("bound")) & (
-            low + F.lit(2.0 / BANDS + 1e-9) >= away - F.col("bound")
-        )
+    A cell holds one block, which meets itself, or two (``side`` 0 and 1), which meet each
+    other. As in ``pairs.multiplying``, its parts are inside, and travel with it. ``most``
+    bounds the cosines held at a time.
+    """
+    rows, slack, rounding, bands = k + 1, 10.0**-digits, ROUNDING, BANDS
+
+    class Block:
+        """Vectors of one block by pivot and band, and how far each group is from its pivot."""
+
+        def __init__(self, parts: list[tuple[np.ndarray, ...]]):
+            ids, pivot, band, floors, vectors = (np.concatenate(x) for x in zip(*parts, strict=True))
+            group = pivot.astype(np.int64) * bands + band
+            order = np.lexsort((ids, group))
+            self.ids, self.floors, group = ids[order], floors[order], group[order]
+            units = vectors[order].astype(np.float64)
+            units /= np.sqrt((units * units).sum(axis=1))[:, None]
+            self.units = units
+            self.away = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (units @ pivots.T)))
+            # A vector with values that are not finite has cosines that are not: see ``cosines``.
+            self.odd = not np.isfinite(units).all()
+            self.first = np.flatnonzero(np.diff(group, prepend=-1))
+            self.sizes = np.diff(self.first, append=len(group))
+            self.pivots = group[self.first] // bands
+            own = self.away[np.arange(len(group)), group // bands]
+            self.low, self.high = np.minimum.reduceat(own, self.first), np.maximum.reduceat(own, self.first)
+
+    def cosines(asking: Block, span: slice, held: Block, kept: np.ndarray | slice) -> np.ndarray:
+        found = asking.units[span] @ held.units[kept].T
+        if asking.odd or held.odd:
+            # Cosines that are no numbers come first, as in descending order in SQL.
+            found = np.where(np.isnan(found), np.inf, found)
+        same = np.isin(held.ids[kept], asking.ids[span])
+        if same.any():
+            places = np.flatnonzero(same)
+            own = asking.ids[span][:, None] == held.ids[kept][places][None, :]
+            row, at = np.nonzero(own)
+            found[row, places[at]] = -np.inf
+        return found
 
-    return F.filter(F.sequence(F.lit(0), F.lit(len(blocks) - 1)), reaches)
+    def seed(block: Block) -> None:
+        """Floors from each vector's own group."""
+        for first, size in zip(block.first.tolist(), block.sizes.tolist(), strict=True):
+            if size <= k:
+                continue
+            step = max(1, most // size)
+            for low in range(first, first + size, step):
+                span = slice(low, min(first + size, low + step))
+                found = cosines(block, span, block, slice(first, first + size))
+                block.floors[span] = np.partition(found, size - k, axis=1)[:, size - k] - slack
+
+    def answer(asking: Block, held: Block) -> Iterator[pa.RecordBatch]:
+        step = max(1, most // len(held.ids))
+        for start in range(0, len(asking.ids), step):
+            span = slice(start, min(len(asking.ids), start + step))
+            least = asking.floors[span] - slack
+            bound = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * least))[:, None] + rounding
+            away = asking.away[span][:, held.pivots]
+            outside = ((away - bound > held.high) | (away + bound < held.low)).all(axis=0)
+            if outside.all():
+                continue
+            kept = np.flatnonzero(np.repeat(~outside, held.sizes)) if outside.any() else slice(None)
+            found = cosines(asking, span, held, kept)
+            row, place = np.nonzero((found >= least[:, None]) & (found > -np.inf))
+            score, other = found[row, place], held.ids[kept][place]
+            # Half away from zero, as Spark rounds; no negative zero.
+            score = np.copysign(np.floor(np.abs(score) * 10.0**digits + 0.5) / 10.0**digits, score) + 0.0
+            order = np.lexsort((other, -score, row))
+            row, score, other = row[order], score[order], other[order]
+            begin = np.searchsorted(row, row)
+            best = np.arange(len(row)) - begin < rows
+            if best.any():
+                score = np.where(np.isinf(score), np.nan, score)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(asking.ids[span][row[best]]), pa.array(other[best]),
+                        pa.array(score[best], from_pandas=False),
+                    ],
+                    ["vector_id", "other_vector", "similarity"],
+                )
+
+    def close(held: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(all="ignore"):
+            blocks = [Block(held[side]) for side in sorted(held)]
+            if len(blocks) == 2:
+                yield from answer(*blocks)
+                yield from answer(*blocks[::-1])
+            elif (held.keys() == {0}) and blocks:
+                seed(blocks[0])
+                yield from answer(blocks[0], blocks[0])
+
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, {}
+        for batch in batches:
+            found = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            cells, sides = found["cell"].to_numpy(), found["side"].to_numpy()
+            cuts = np.flatnonzero((np.diff(cells) != 0) | (np.diff(sides) != 0)) + 1
+            bounds = [0, *cuts.tolist(), len(cells)]
+            for start, stop in zip(bounds, bounds[1:], strict=False):
+                if start == stop:
+                    continue
+                if cells[start] != cell:
+                    yield from close(held)
+                    cell, held = cells[start], {}
+                vectors = found["vector"].slice(start, stop - start).flatten().to_numpy(zero_copy_only=False)
+                part = [found[name].to_numpy()[start:stop] for name in ("vector_id", "pivot", "band", "floor")]
+                held.setdefault(int(sides[start]), []).append((*part, vectors.reshape(stop - start, -1)))
+        yield from close(held)
+
+    return ranked
 
 
 def nearest_of_all(
@@ -136,62 +220,81 @@ def nearest_of_all(
     vector_column: str = "vector",
     digits: int = 6,
     pivots: int = PIVOTS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """(item_id, position, other_id, similarity): the k nearest of every vector by cosine.
 
     Cosines are rounded to ``digits``; equal ones go by id. Vectors without length have no
     direction: they are not ranked and are nobody's neighbours. Fewer than k others give
-    fewer rows; an empty table gives none.
+    fewer rows; an empty table gives none. ``block_rows`` fixes how many vectors a block
+    holds, about.
     """
     folded, members = fold_vectors(vectors, id_column, vector_column)
-    drawn = folded.orderBy(F.xxhash64("vector_id"), "vector_id").limit(pivots).select("unit").collect()
+    drawn = folded.orderBy(F.xxhash64("vector_id"), "vector_id").limit(pivots).select("vector").collect()
     if not drawn:
         return members.select(
             "item_id", F.lit(1).alias("position"), F.col("item_id").alias("other_id"), F.lit(0.0).alias("similarity")
         ).limit(0)
-    placed = staged(_placed(folded, np.array([row["unit"] for row in drawn])), "placed")
-    counted = placed.groupBy("cell", "band").agg(F.count("*").alias("rows")).orderBy("cell", "band").collect()
-    blocks = [(row["cell"], row["band"], row["rows"]) for row in counted]  # pivots x BANDS at most
-    slots = [-(-rows // SLOT_ROWS) for _, _, rows in blocks]
-    slot_table = F.lit(np.array(slots, np.int64))
-
-    numbers = F.lit(np.array([cell * BANDS + band for cell, band, _ in blocks], np.int64))
-    own = (F.array_position(numbers, F.col("cell") * BANDS + F.col("band")) - 1).cast("int")
-    laid = placed.withColumn("block", own).withColumn(
-        "slot", F.pmod(F.xxhash64("vector_id"), F.get(slot_table, F.col("block"))).cast("int")
+    centres = np.array([row["vector"] for row in drawn], np.float64)
+    centres /= np.sqrt((centres * centres).sum(axis=1))[:, None]
+    width = centres.shape[1]
+    kind = "float" if folded.schema["vector"].dataType.simpleString() == "array<float>" else "double"
+    plain = folded.where((F.col("vector_id").isNotNull()) & (F.size("vector") == width)).select(
+        F.col("vector_id").cast("long"), F.col("vector").cast(f"array<{kind}>")
+    )
+    placed = staged(
+        plain.mapInArrow(placing(centres), f"vector_id long, pivot int, band int, vector array<{kind}>"), "placed"
+    )
+    counted = placed.groupBy("pivot", "band").agg(F.count("*").alias("rows")).orderBy("pivot", "band").collect()
+    sizes = np.zeros(len(centres) * BANDS, np.int64)  # pivots x BANDS
+    for row in counted:
+        sizes[row["pivot"] * BANDS + row["band"]] = row["rows"]
+    total = int(sizes.sum())
+    cores = placed.sparkSession.sparkContext.defaultParallelism
+    wanted = ceil((2 * CELLS_PER_CORE * cores) ** 0.5)
+    blocks = max(1, ceil(total * width / BLOCK_NUMBERS), min(wanted, total // LEAST_BLOCK_ROWS))
+    if block_rows is not None:
+        blocks = max(1, ceil(total / block_rows))
+
+    # Places of a group's vectors, in any order, among all: groups in a row make blocks.
+    group = F.col("pivot") * BANDS + F.col("band")
+    place = F.get(F.lit(np.cumsum(sizes) - sizes), group) + F.pmod(
+        F.xxhash64("vector_id"), F.get(F.lit(sizes), group)
     )
-    held = laid.select(
-        "block", "slot", F.col("vector_id").alias("other_vector"), F.col("unit").alias("other_unit"),
-        F.col("dist").alias("other_dist"),
+    laid = placed.withColumn("block", F.floor(place * F.lit(blocks) / F.lit(max(1, total))).cast("int"))
+    own = laid.select(
+        (F.col("block") * F.lit(blocks) + F.col("block")).alias("cell"), F.lit(0).alias("side"),
+        "vector_id", "pivot", "band", F.lit(float("-inf")).alias("floor"), "vector",
     )
-    cosine = F.round(dense_dot(F.col("unit"), F.col("other_unit")), digits)
-    columns = ["vector_id", "other_vector", cosine.alias("similarity")]
-    order = Window.partitionBy("vector_id").orderBy(F.desc("similarity"), "other_vector")
+    schema = "vector_id long, other_vector long, similarity double"
 
-    def best(met: DataFrame, rows: int) -> DataFrame:
-        ranked = met.where("vector_id <> other_vector").select(*columns)
-        return ranked.withColumn("position", F.row_number().over(order)).where(F.col("position") <= rows)
+    def met(dealt: DataFrame, cells: int) -> DataFrame:
+        # By ranges: a hash would deal several of so few cells to one task.
+        ordered = dealt.repartitionByRange(cells, "cell").sortWithinPartitions("cell", "side")
+        return ordered.mapInArrow(ranking(centres, k, digits, COSINES), schema)
 
-    near = best(laid.join(held, ["block", "slot"]), k).where(F.col("position") == k)
-    known = near.select("vector_id", _distance(F.col("similarity") - F.lit(10.0**-digits)).alias("seen"))
-    asking = laid.join(known, "vector_id", "left").withColumn(
-        "bound", F.least(_bound_by_counts(blocks, k) + F.lit(1e-9), F.coalesce("seen", F.lit(2.0)))
-    )
-    block = F.col("visit")
-    visiting = (
-        asking.select("vector_id", "unit", "away", "bound", F.explode(_visits(blocks)).alias("visit"))
-        .withColumn("toward", F.get("away", F.get(_table(blocks), block * 3).cast("int")))
-        .select(
-            "vector_id", "unit", "bound", "toward", block.alias("block"),
-            F.explode(F.sequence(F.lit(0), (F.get(slot_table, block) - 1).cast("int"))).alias("slot"),
+    order = Window.partitionBy("vector_id").orderBy(F.desc("similarity"), "other_vector")
+    near = staged(met(own, blocks), "near")
+    found = near
+    if blocks > 1:
+        known = (
+            near.withColumn("position", F.row_number().over(order))
+            .where(F.col("position") == k)
+            .select("vector_id", F.col("similarity").alias("seen"))
+        )
+        # A cosine that is no number is as good as any bound.
+        seen = F.when(F.isnan("seen"), F.lit(float("inf"))).otherwise(F.col("seen"))
+        others = F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda x: x != F.col("block"))
+        asking = laid.join(known, "vector_id", "left").select("*", F.explode(others).alias("partner"))
+        pairs = asking.select(
+            (F.least("block", "partner") * F.lit(blocks) + F.greatest("block", "partner")).alias("cell"),
+            (F.col("block") > F.col("partner")).cast("int").alias("side"),
+            "vector_id", "pivot", "band", F.coalesce(seen, F.lit(float("-inf"))).alias("floor"), "vector",
         )
-    )
-    met = visiting.join(held, ["block", "slot"]).where(
-        F.abs(F.col("toward") - F.col("other_dist")) <= F.col("bound") + F.lit(1e-9)
-    )
+        found = near.unionByName(staged(met(pairs, blocks * (blocks - 1) // 2), "far"))
     copies = folded.where("copies > 1").select(
         "vector_id", F.col("vector_id").alias("other_vector"), F.lit(1.0).alias("similarity")
     )
-    ranked = best(met, k + 1).drop("position").unionByName(copies)
+    ranked = found.unionByName(copies)
     kept = ranked.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k + 1)
     return items_of_best(kept.drop("position"), members, k)

@@ -258,3 +258,38 @@ def test_nearest_join_is_no_cross_join(spark):
     text = nearest_of_all(frame, 2, id_column="vec_id", vector_column="embedding")._jdf.queryExecution().toString()
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
         assert word not in text
+
+
+def test_nearest_without_clusters_are_compared_as_matrices(spark):
+    """No row per compared pair and no interpreted products, where pivots part nothing."""
+    draw = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(draw.normal(size=(3000, 16)))]
+    frame = spark.createDataFrame(rows, "item_id long, vector array<float>")
+    result = nearest_of_all(frame, 4, digits=5, block_rows=700)
+    text = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in text
+    singles = [(i, np.array(v, np.float32).astype(float).tolist()) for i, v in rows]
+    units = np.array([v for _, v in singles])
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    cosines = units @ units.T
+    np.fill_diagonal(cosines, -2)
+    best = -np.sort(-cosines, axis=1)[:, :4]
+    found = result.collect()
+    assert len(found) == 4 * len(rows)
+    assert all(abs(r.similarity - best[r.item_id, r.position - 1]) <= 1e-5 for r in found)
+    assert all(abs(r.similarity - cosines[r.item_id, r.other_id]) <= 1e-5 for r in found)
+    assert len({(r.item_id, r.other_id) for r in found}) == len(found)
+
+
+def test_nearest_in_blocks_are_those_of_one_block(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, (draw.normal(size=4) + 3 * (i % 5)).round(1).tolist()) for i in range(400)]
+    rows += [(500, [float("nan"), 1.0, 0.0, 0.0]), (501, [1.0, None, 0.0, 0.0]), (None, [1.0, 0.5, 0.0, 0.0])]
+    rows += rows[:30]  # rows that come twice
+    frame = spark.createDataFrame(rows, "item_id long, vector array<double>")
+    once, cut = (
+        [tuple(map(repr, r)) for r in nearest_of_all(frame, 3, pivots=5, block_rows=n).collect()] for n in (1000, 60)
+    )
+    assert sorted(once) == sorted(cut)
+    # A cosine that is no number is the first in descending order, as in SQL.
+    assert {r[2] for r in once if r[1] == "1" and r[0] not in ("500", "None")} == {"500"}
