@@ -7,23 +7,38 @@ rating is a feature token and must not depend on how an average is rounded.
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinia.operators.profiles import build_profiles
 from affinia.sources.delimited import CatalogueFrames
-from affinia.sources.workspace import staged
+from affinia.sources.workspace import shuffles_freed, staged
+
+
+# Lines that are shuffled at a time while the item table is built: about 16 MB for a million.
+LINES_PER_PART = 8_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def titles(spark: SparkSession, folder: str) -> DataFrame:
+def part_of(frame: DataFrame, part: tuple[int, int] | None) -> DataFrame:
+    """The rows of one part of the titles, (number, parts); all rows without one."""
+    if part is None:
+        return frame
+    number, parts = part
+    return frame.where(F.pmod(F.xxhash64(F.col("title_id").cast("long")), F.lit(parts)) == number)
+
+
+def titles(spark: SparkSession, folder: str, part: tuple[int, int] | None = None) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", F.col("l_partkey").alias("title_id"))
     first_order = (
-        table(spark, folder, "lineitem")
-        .select("l_orderkey", F.col("l_partkey").alias("title_id"))
+        part_of(lines, part)
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("title_id")
         .agg(F.min("o_orderdate").cast("date").alias("year"))
@@ -36,7 +51,7 @@ def titles(spark: SparkSession, folder: str) -> DataFrame:
         F.split("p_name", r"\s+").alias("genres"),
     )
     # Written first, so that its shuffles of all lines are gone before others begin.
-    return parts.join(staged(first_order, "first-orders"), "title_id", "left")
+    return part_of(parts, part).join(staged(first_order, "first-orders"), "title_id", "left")
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,11 +83,11 @@ def names(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def frames(spark: SparkSession, folder: str) -> CatalogueFrames:
+def frames(spark: SparkSession, folder: str, part: tuple[int, int] | None = None) -> CatalogueFrames:
     return CatalogueFrames(
-        titles=titles(spark, folder),
-        ratings=ratings(spark, folder),
-        credits=credits(spark, folder),
+        titles=titles(spark, folder, part),
+        ratings=part_of(ratings(spark, folder), part),
+        credits=part_of(credits(spark, folder), part),
         names=names(spark, folder),
     )
 
@@ -84,10 +99,11 @@ def items(
     kind: str | None = None,
     min_rating: str = "0",
     min_votes: int = 0,
+    part: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Item profiles of the test tables; all items unless told otherwise."""
     return build_profiles(
-        frames(spark, folder),
+        frames(spark, folder, part),
         kind=kind,
         min_rating=min_rating,
         min_votes=min_votes,
@@ -96,8 +112,18 @@ def items(
 
 
 def stored_items(spark: SparkSession, folder: str, **filters) -> DataFrame:
-    """The item table written out, as the similarity jobs expect it."""
-    return staged(items(spark, folder, **filters), "items")
+    """The item table written out, as the similarity jobs expect it.
+
+    Many lines are gone over in parts of the titles, one after another, so that only the
+    lines of one part lie on disk as shuffle files.
+    """
+    with shuffles_freed(spark):
+        lines = table(spark, folder, "lineitem").count()
+    parts = max(1, ceil(lines / LINES_PER_PART))
+    if parts == 1:
+        return staged(items(spark, folder, **filters), "items")
+    written = [staged(items(spark, folder, part=(n, parts), **filters), "items") for n in range(parts)]
+    return reduce(DataFrame.unionByName, written)
 
 
 def flat(frame: DataFrame) -> DataFrame:

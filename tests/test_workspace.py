@@ -32,3 +32,14 @@ def test_item_tables_leave_no_shuffle_files(spark):
     # The count itself keeps its one row for each task.
     left = {f for f in _shuffle_files(spark) - before if f.endswith(".data")}
     assert len({f.split("_")[1] for f in left}) <= 1
+
+
+def test_many_lines_are_shuffled_in_parts(spark, monkeypatch):
+    folder, written = "/root/testdata/sf0.001", []
+    whole = sorted(map(repr, bindings.stored_items(spark, folder).collect()))
+    monkeypatch.setattr(bindings, "LINES_PER_PART", 2500)
+    monkeypatch.setattr(bindings, "staged", lambda frame, name: written.append(name) or staged(frame, name))
+    parts = sorted(map(repr, bindings.stored_items(spark, folder).collect()))
+    assert parts == whole
+    # About 6,000 lines: three parts, and no part shuffles the lines of another.
+    assert written.count("items") == written.count("first-orders") == 3
