@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 from pathlib import Path
 
@@ -34,6 +34,8 @@ from affinia.llm.common import keyed_texts, map_texts, slices
 from affinia.llm.words import load, specification
 
 LEAF = 16_384
+#: Leaves, or long texts, that a task holds as Python objects at a time.
+LEAVES = 32
 WINDOW = 32
 AGREE = 2
 
@@ -173,6 +175,20 @@ def tokenizer_files(json_path: str, ranks_path: str, pattern: str) -> tuple[str,
     return specification(json_path), Path(ranks_path).read_text(), pattern
 
 
+def encoding_leaves(files: tuple[str, str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function that encodes leaves, ``LEAVES`` at a time: a batch may hold 160 MB of them."""
+
+    def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(files)
+        for batch in (part for whole in stream for part in slices(whole, LEAVES)):
+            ids = [np.array(codec.encode(t), "<u4").tobytes() for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "mark", "place", "ids"]
+            )
+
+    return encode
+
+
 def _long_ids(docs: DataFrame, files: tuple[str, str, str], leaf: int) -> DataFrame:
     """doc_id and ids of long texts, through leaves dealt over the cluster."""
     leaf_kinds = pa.schema(
@@ -180,7 +196,7 @@ def _long_ids(docs: DataFrame, files: tuple[str, str, str], leaf: int) -> DataFr
     )
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
+        for batch in (part for whole in stream for part in slices(whole, LEAVES)):
             for doc_id, text, mark in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 parts = [text[s : s + leaf] for s in range(0, len(text), leaf)]
                 columns = ([doc_id] * len(parts), [mark] * len(parts), range(len(parts)), parts)
@@ -189,17 +205,9 @@ def _long_ids(docs: DataFrame, files: tuple[str, str, str], leaf: int) -> DataFr
                     schema=leaf_kinds,
                 )
 
-    def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(files)
-        for batch in stream:
-            ids = [np.array(codec.encode(t), "<u4").tobytes() for t in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "mark", "place", "ids"]
-            )
-
     def whole(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(files)
-        for batch in stream:
+        for batch in (part for whole in stream for part in slices(whole, 1)):
             for doc_id, leaves in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 by_place = {x["place"]: x["ids"] for x in leaves}
                 ids = concatenate(
@@ -214,7 +222,7 @@ def _long_ids(docs: DataFrame, files: tuple[str, str, str], leaf: int) -> DataFr
     marked = keyed_texts(docs).withColumn("mark", F.sha2("text", 256))
     leaves = marked.mapInArrow(cut, "doc_id long, mark string, place long, body string")
     encoded = leaves.repartition("doc_id", "place").mapInArrow(
-        encode, "doc_id long, mark string, place long, ids binary"
+        encoding_leaves(files), "doc_id long, mark string, place long, ids binary"
     )
     grouped = encoded.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("place", "ids")).alias("leaves"))
     return grouped.drop("mark").mapInArrow(whole, "doc_id long, ids binary")

@@ -7,6 +7,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -129,3 +130,14 @@ def test_damaged_block_is_noticed(spark, frame, tmp_path):
 def test_files_of_no_rows(spark, frame, tmp_path):
     ans_files.write_ids(frame([]), str(tmp_path / "ids"), WORD, end_id=2)
     assert ans_files.read_ids(spark, str(tmp_path / "ids")).collect() == []
+
+
+def test_leaves_are_encoded_a_few_at_a_time(byte_library):
+    """A batch of leaves may be large; what is held as Python objects is not."""
+    texts = [f"leaf {i} of a long text" for i in range(100)]
+    columns = [pa.array([1] * 100, pa.int64()), pa.array(["m"] * 100), pa.array(range(100), pa.int64()), pa.array(texts)]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "place", "body"])
+    made = list(tree_bpe.encoding_leaves(byte_bpe_files())(iter([batch])))
+    assert max(b.num_rows for b in made) <= tree_bpe.LEAVES < 100
+    ids = [np.frombuffer(r["ids"], "<u4").tolist() for b in made for r in b.to_pylist()]
+    assert ids == [byte_library.encode(t, add_special_tokens=False).ids for t in texts]
