@@ -5,11 +5,12 @@ has a floor, a score that k others are known to reach:
 
 1. The rare tokens, whose lists make few meetings, are summed first. Scores are sums of
    positive products, so the k-th best partial sum of a vector is a floor.
-2. Every vector meets every block of vectors in the memory of a task (see ``pairs``). It
-   sums its usual tokens, and frequent ones while its remaining length reaches its floor;
-   where a sum may still reach the floor, the rest is added. Of a block its k best leave
-   the task, and no other pair is written.
-3. The k best of the blocks are ranked.
+2. A block of vectors stays in the memory of a task while all vectors go by, as one index
+   after the other (see ``pairs``). A vector sums its usual tokens; its k-th best sum so
+   far lifts its floor. It sums frequent ones while its remaining length may reach the
+   floor; the rest is added where a pair may still reach it. Each vector holds its k best
+   in the task, and no other pair is written.
+3. The k best are ranked.
 
 A vector that fewer than k others share a token with has no floor and meets all that share
 one; pairs that share nothing score 0 and are no neighbours.

@@ -5,14 +5,17 @@ Method: an inverted-index join with a prefix filter on frequent tokens
 
 Vectors are cut into blocks by a hash of their id, and every two blocks meet in one cell.
 The right block of a cell becomes an inverted index in the memory of its task, the left
-block's vectors go through it one after another. So what is shuffled are the vectors,
-once for every block, and no meeting of two vectors in a token is ever written.
+block's vectors go through it some at a time. So what is shuffled are the vectors,
+once for every block, and no meeting of two vectors in a token is ever written. Of the
+sums of a vector with a block only those that are met are touched: the work follows the
+meetings, not the vectors times the vectors.
 
 Tokens of a vector run from rare to frequent. From a token on, a vector can add at most
-its remaining length to a score. A vector first sums its usual tokens, and frequent ones
-while its remaining length reaches the threshold: no pair that meets later can still get
-there. The rest is added, exactly, only for vectors with a sum that the remaining length
-may lift to the threshold.
+its remaining length to a score, times the length of the other vector's part there. A
+vector first sums its usual tokens, and frequent ones while its remaining length reaches
+the threshold: no pair that meets later can still get there. The rest is added, exactly,
+only for vectors with a sum that the rest may lift to the threshold, and tokens of very
+long lists only for those pairs.
 
 Nothing at or above the threshold is lost.
 """
@@ -336,15 +339,15 @@ def score_in_blocks(
 ) -> DataFrame:
     """(vector_id, other_vector, part): pairs with a score of at least ``floor``, each once.
 
-    With ``best`` both directions are met and each vector keeps, of every block, its best
-    others that reach ``floor``, or its own in ``floors`` (vector_id, floor) where that is
-    higher; scores are compared as rounded to ``digits``, equal ones by id.
+    With ``best`` both directions are met and each vector keeps its best others that reach
+    ``floor``, or its own in ``floors`` (vector_id, floor) where that is higher; scores are
+    compared as rounded to ``digits``, equal ones by id.
     """
     size = vectors.frame.agg(
         F.count("*").alias("rows"), F.coalesce(F.sum(F.size("entries")), F.lit(0)).alias("entries")
     ).first()
     cores = vectors.frame.sparkSession.sparkContext.defaultParallelism
-    wanted = ceil((CELLS_PER_CORE * cores * (2 if best is None else 1)) ** 0.5)
+    wanted = ceil((CELLS_PER_CORE * cores * 2) ** 0.5) if best is None else cores
     blocks = max(
         1,
         ceil(size["rows"] / CELL_ROWS),
@@ -358,82 +361,213 @@ def score_in_blocks(
         known = floors.select("vector_id", F.col("floor").alias("own_floor"))
         frame = frame.join(known, "vector_id", "left")
         least = F.greatest(least, F.coalesce("own_floor", least))
-    first = F.size(
-        F.filter(
-            "entries", lambda entry: (entry["rows"] <= F.lit(frequent_rows)) | (entry["head"] >= F.col("floor"))
-        )
-    )
+    # Tokens that are summed by their lists wherever a pair is open; others pair by pair.
+    listed = frequent_rows if best else max(frequent_rows, FREQUENT_ROWS)
+
+    def leading(kept: Callable[[Column], Column]) -> Column:
+        return F.size(F.filter("entries", kept))
+
+    def early(entry: Column) -> Column:
+        usual = entry["rows"] <= F.lit(frequent_rows)
+        return usual if best else usual | (entry["head"] >= F.col("floor"))
+
     placed = (
         frame.withColumn("floor", least)
         .withColumn("block", block)
-        .withColumn("first", first)
         .select(
-            "vector_id", "block", "floor", "first",
-            F.coalesce(F.get("entries.head", F.col("first")), F.lit(0.0)).alias("tail"),
+            "vector_id", "block", "floor",
+            leading(early).alias("first"),
+            leading(lambda entry: entry["rows"] <= F.lit(frequent_rows)).alias("rare"),
+            leading(lambda entry: entry["rows"] <= F.lit(listed)).alias("usual"),
             F.col("entries.token_id").alias("tokens"), F.col("entries.weight").alias("weights"),
         )
     )
 
-    def side(number: int, partners: Column) -> DataFrame:
-        """Vectors in each cell of their block, as rows (1) or in the index (0)."""
-        met = placed.select("*", F.explode(partners).alias("partner"))
-        row, column = ("block", "partner") if number else ("partner", "block")
-        cell = F.col(row) * F.lit(blocks) + F.col(column)
+    def side(number: int, met: DataFrame, row: str, column: str) -> DataFrame:
+        """Vectors in each cell of their block, as rows (``row`` is the block) or in the index."""
+        cell = F.col(row) if best else F.col(row) * F.lit(blocks) + F.col(column)
         return met.select(
             cell.alias("cell"), F.lit(number).alias("side"), (F.col(row) == F.col(column)).alias("own"),
-            "vector_id", "floor", "first", "tail", "tokens", "weights",
+            "vector_id", "floor", "first", "rare", "usual", "tokens", "weights",
         )
 
-    rows = side(1, F.sequence(F.lit(0) if best else F.col("block"), last))
-    index = side(0, F.sequence(F.lit(0), last if best else F.col("block")))
-    cells = blocks * blocks if best else blocks * (blocks + 1) // 2
-    # By ranges: a hash would deal several of so few cells to one task.
-    met = index.unionByName(rows).repartitionByRange(cells, "cell").sortWithinPartitions("cell", "side", "vector_id")
-    return met.mapInArrow(multiplying(best, digits, SUMS), "vector_id long, other_vector long, part double")
+    def partners(begin: Column, end: Column) -> DataFrame:
+        return placed.select("*", F.explode(F.sequence(begin, end)).alias("partner"))
+
+    if best:
+        # A block of rows keeps its best in one task while all vectors go by.
+        cells = blocks
+        met = side(0, placed, "block", "block").unionByName(side(1, partners(F.lit(0), last), "partner", "block"))
+        task = F.col("cell")
+    else:
+        cells = blocks * (blocks + 1) // 2
+        met = side(1, partners(F.col("block"), last), "block", "partner").unionByName(
+            side(0, partners(F.lit(0), F.col("block")), "partner", "block")
+        )
+        # Cells above the diagonal, numbered without gaps.
+        row, column = F.floor(F.col("cell") / F.lit(blocks)), F.pmod("cell", F.lit(blocks))
+        task = row * F.lit(blocks) - row * (row - 1) / 2 + column - row
+    # By number: a hash would deal several of so few cells to one task, and so may ranges.
+    dealt = met.repartitionById(cells, task.cast("int")).sortWithinPartitions("cell", "side", "vector_id")
+    return dealt.mapInArrow(
+        multiplying(best, digits, SUMS, CELL_ROWS, CELL_ENTRIES), "vector_id long, other_vector long, part double"
+    )
 
 
 def multiplying(
-    best: int | None, digits: int, most: int
+    best: int | None, digits: int, most: int, most_rows: int, most_entries: int
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The function that scores cells: the vectors of the index come first, then the rows.
+    """The function that scores cells.
 
     As in ``summing``, its parts are inside, and travel with it. ``most`` bounds the sums
-    held and the meetings added at a time.
+    held and the meetings added at a time; ``most_rows`` and ``most_entries`` an index.
+
+    A few rows at a time have a sum for each vector of the index, but only the sums that are
+    met are looked at, and set back: the work follows the meetings, not the rows times the
+    vectors. What a row's remaining tokens can add to a sum is bounded by the row's remaining
+    length times the length of the other vector's frequent part; where that may reach the
+    row's floor, the rest is added from the two vectors.
     """
+    # Sums of the same products in another order differ by less.
+    error = 1e-12
+    # Meetings of the rows summed at a time: their arrays stay in a processor's cache.
+    cached = 1 << 16
+
+    def spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The numbers from each begin on, as many as its size, in a row."""
+        ends = np.cumsum(sizes)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
+
+    def lengths(rows: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
+        """The length of each row's entries (row, weight), never too low."""
+        return np.sqrt(np.bincount(rows, weights**2, count)) * (1 + error)
 
     class Index:
-        """Postings of one block by token."""
+        """Postings of vectors by token, and their frequent entries by vector."""
 
-        def __init__(self, ids: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, weights: np.ndarray):
+        def __init__(self, ids, sizes, rare, usual, tokens, weights):
             order = np.argsort(tokens, kind="stable")
             self.ids = ids
             self.tokens, self.starts, self.sizes = np.unique(tokens[order], return_index=True, return_counts=True)
-            self.places = np.repeat(np.arange(len(ids)), sizes)[order].astype(np.int32)
+            owner = np.repeat(np.arange(len(ids)), sizes)
+            self.places = owner[order].astype(np.int32)
             self.weights = weights[order]
-
-        def add(self, sums: np.ndarray, rows: np.ndarray, tokens: np.ndarray, weights: np.ndarray) -> None:
-            """Adds the products of entries (row, token, weight) with their postings."""
+            # Frequent entries, which come last in a vector, by vector.
+            place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            late = place >= np.repeat(rare, sizes)
+            self.longest_but_rare = lengths(owner[late], weights[late], len(ids)).max(initial=0.0)
+            late = place >= np.repeat(usual, sizes)
+            frequent, self.late_tokens = np.unique(tokens[late], return_inverse=True)
+            self.late_weights = weights[late]
+            self.late_sizes = sizes - usual
+            self.late_begins = np.cumsum(self.late_sizes) - self.late_sizes
+            self.frequent = len(frequent)
+            self.numbers = np.full(len(self.tokens), -1)
+            self.numbers[np.searchsorted(self.tokens, frequent)] = np.arange(len(frequent))
+            self.lengths = lengths(owner[late], self.late_weights, len(ids))
+            self.longest = self.lengths.max(initial=0.0)
+
+        def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """The place of each token's list, and whether there is one."""
             at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-            hit = self.tokens[at] == tokens
-            at, rows, weights = at[hit], rows[hit], weights[hit]
-            sizes, width = self.sizes[at], len(self.ids)
+            return at, self.tokens[at] == tokens
+
+    class Sums:
+        """Sums of some rows with all vectors of an index; ``close`` sets them back."""
+
+        def __init__(self, index: Index, held: np.ndarray, marks: np.ndarray, rows: int):
+            self.index, self.width, self.rows = index, len(index.ids), rows
+            self.held, self.marks, self.met, self.meetings = held, marks, [], 0
+
+        @property
+        def dense(self) -> bool:
+            """So many meetings that they are not remembered."""
+            return self.meetings > most
+
+        def add(self, rows: np.ndarray, at: np.ndarray, weights: np.ndarray) -> None:
+            """Adds the products of entries (row, list, weight), which go by row, with their lists."""
+            index = self.index
+            sizes = index.sizes[at]
             ends = np.cumsum(sizes)
+            if not len(at):
+                return
+            self.meetings += int(ends[-1])
+            if self.dense:
+                self.met = []
             begin = 0
             while begin < len(at):
                 done = ends[begin - 1] if begin else 0
                 stop = max(begin + 1, int(np.searchsorted(ends, done + most, side="right")))
-                part = slice(begin, stop)
-                size = sizes[part]
-                met = np.arange(ends[stop - 1] - done) + np.repeat(
-                    self.starts[at[part]] - (ends[part] - size - done), size
-                )
-                # Sums of the rows from the first to the last of this part.
-                low, high = int(rows[begin]), int(rows[stop - 1]) + 1
-                keys = np.repeat((rows[part] - low) * width, size) + self.places[met]
-                products = np.repeat(weights[part], size) * self.weights[met]
-                sums[low:high] += np.bincount(keys, products, (high - low) * width).reshape(-1, width)
+                size, row = sizes[begin:stop], rows[begin:stop]
+                spots = spread(index.starts[at[begin:stop]], size)
+                keys = np.repeat(row * self.width, size) + index.places[spots]
+                np.add.at(self.held, keys, np.repeat(weights[begin:stop], size) * index.weights[spots])
+                if not self.dense:
+                    self.met.append((row, size, keys))
                 begin = stop
 
+        def reaching(self, least: np.ndarray) -> Iterator[np.ndarray]:
+            """Keys of sums of at least ``least`` of their row; some come several times."""
+            if self.dense:
+                grid = self.held[: self.rows * self.width].reshape(self.rows, self.width)
+                yield np.flatnonzero(grid >= least[:, None])
+                return
+            for rows, sizes, keys in self.met:
+                yield keys[self.held.take(keys) >= np.repeat(least[rows], sizes)]
+
+        def kth(self, rows: np.ndarray, places: np.ndarray) -> np.ndarray:
+            """The sum of each row at a place, from the highest (1); 0 where fewer are met."""
+            if self.dense:
+                of_row = np.repeat(np.arange(self.rows), self.width)
+                sums = self.held[: self.rows * self.width]
+            elif self.met:
+                keys = np.concatenate([keys for _, _, keys in self.met])
+                # Of a key that comes several times the last one counts.
+                numbers = np.arange(len(keys), dtype=np.int32)
+                self.marks[keys] = numbers
+                once = self.marks.take(keys) == numbers
+                of_row = np.concatenate([np.repeat(row, sizes) for row, sizes, _ in self.met])[once]
+                sums = self.held.take(keys[once])
+            else:
+                return np.zeros(len(rows))
+            lows, highs = np.searchsorted(of_row, rows), np.searchsorted(of_row, rows, side="right")
+            found = np.zeros(len(rows))
+            for i, (low, high, nth) in enumerate(zip(lows, highs, places, strict=True)):
+                if high - low >= nth:
+                    found[i] = np.partition(sums[low:high], high - low - nth)[high - low - nth]
+            return found
+
+        def with_rest(self, keys: np.ndarray, rows: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+            """Sums of keys with the products of entries (row, list, weight) of frequent tokens."""
+            index, sums = self.index, self.held.take(keys)
+            number = index.numbers[at]
+            rows, number, weights = rows[number >= 0], number[number >= 0], weights[number >= 0]
+            if not len(rows):
+                return sums
+            table = np.zeros(self.rows * index.frequent)
+            table[rows * index.frequent + number] = weights
+            row = keys // self.width
+            places = keys - row * self.width
+            sizes = index.late_sizes[places]
+            ends = np.cumsum(sizes)
+            begin = 0
+            while begin < len(keys):
+                done = ends[begin - 1] if begin else 0
+                stop = max(begin + 1, int(np.searchsorted(ends, done + most, side="right")))
+                size = sizes[begin:stop]
+                spots = spread(index.late_begins[places[begin:stop]], size)
+                other = table[np.repeat(row[begin:stop] * index.frequent, size) + index.late_tokens[spots]]
+                pair = np.repeat(np.arange(stop - begin), size)
+                sums[begin:stop] += np.bincount(pair, other * index.late_weights[spots], stop - begin)
+                begin = stop
+            return sums
+
+        def close(self) -> None:
+            if self.dense:
+                self.held[: self.rows * self.width] = 0.0
+            for _, _, keys in self.met:
+                self.held[keys] = 0.0
+
     def lists(column: pa.ListArray) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False)
 
@@ -442,78 +576,193 @@ def multiplying(
         made = {name: lists(found[name]) for name in ("tokens", "weights")}
         made["sizes"] = found["tokens"].value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         made["own"] = found["own"].to_numpy(zero_copy_only=False)
-        for name in ("cell", "side", "vector_id", "floor", "first", "tail"):
+        for name in ("cell", "side", "vector_id", "floor", "first", "rare", "usual"):
             made[name] = found[name].to_numpy()
+        made["floor"] = made["floor"].copy()
         return made
 
-    def best_of(sums: np.ndarray, hits: np.ndarray) -> np.ndarray:
-        """Of each row's hits the ``best`` highest; equal ones by place, which is by id."""
-        for row in np.flatnonzero(hits.sum(axis=1) > best):
-            places = np.flatnonzero(hits[row])
-            scores = np.floor(sums[row, places] * 10.0**digits + 0.5)
-            least = np.partition(scores, len(scores) - best)[len(scores) - best]
-            ties = np.flatnonzero(scores == least)
-            over = int((scores >= least).sum()) - best
-            drop = scores < least
-            drop[ties[len(ties) - over :]] = True
-            hits[row, places[drop]] = False
-        return hits
-
-    def score(index: Index, part: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def indexed(held: list[dict[str, np.ndarray]]) -> Index:
+        names = ("vector_id", "sizes", "rare", "usual", "tokens", "weights")
+        return Index(*(np.concatenate([part[name] for part in held]) for name in names))
+
+    def score(index: Index, part: dict[str, np.ndarray], buffers: list[np.ndarray]) -> Iterator[tuple]:
+        """(first row, rows, places, scores) of the pairs that reach their row's floor."""
         width = len(index.ids)
         ends = np.cumsum(part["sizes"])
-        step = max(1, most // width)
+        # Tokens that no vector of the index holds add nothing, so they count in no length.
+        all_at, hit = index.find(part["tokens"])
+        early = hit & (spread(np.zeros(len(ends), np.int64), part["sizes"]) < np.repeat(part["first"], part["sizes"]))
+        step = max(1, min(most // width, len(ends) * cached // max(1, int(index.sizes[all_at[early]].sum()))))
+        if len(buffers[0]) < step * width:
+            buffers[:] = np.zeros(step * width), np.zeros(step * width if best else 0, np.int32)
         for low in range(0, len(ends), step):
             high = min(len(ends), low + step)
             span = slice(ends[low] - part["sizes"][low], ends[high - 1])
-            sizes, ids, floor = (part[name][low:high] for name in ("sizes", "vector_id", "floor"))
-            number = np.repeat(np.arange(high - low), sizes)
+            sizes, ids, floor, first, usual = (
+                part[name][low:high] for name in ("sizes", "vector_id", "floor", "first", "usual")
+            )
+            rows = high - low
+            number = np.repeat(np.arange(rows), sizes)
             place = np.arange(len(number)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            tokens, weights = part["tokens"][span], part["weights"][span]
-            early = place < np.repeat(part["first"][low:high], sizes)
-            sums = np.zeros((high - low, width))
-            index.add(sums, number[early], tokens[early], weights[early])
-            tail = part["tail"][low:high]
-            # Rows where what is left may lift some sum to the floor; rounding is allowed for.
-            open_rows = (tail > 0) & (sums.max(axis=1) + tail >= floor - 1e-12)
-            late = ~early & np.repeat(open_rows, sizes)
-            if late.any():
-                index.add(sums, number[late], tokens[late], weights[late])
-            hits = sums >= floor[:, None]
-            if part["own"][low]:
-                hits &= (ids[:, None] != index.ids) if best else (ids[:, None] < index.ids)
+            known = hit[span]
+            number, place, at, weights = number[known], place[known], all_at[span][known], part["weights"][span][known]
+
+            def rest(begin: np.ndarray, of: tuple = (number, place, weights, rows)) -> np.ndarray:
+                """The length of each row from an entry on."""
+                number, place, weights, rows = of
+                left = place >= begin[number]
+                return lengths(number[left], weights[left], rows)
+
+            sums = Sums(index, *buffers, rows)
+            early = place < first[number]
+            sums.add(number[early], at[early], weights[early])
             if best:
-                hits = best_of(sums, hits)
-            row, place = np.nonzero(hits)
-            if len(row):
-                left, right = ids[row], index.ids[place]
-                if not best:
-                    left, right = np.minimum(left, right), np.maximum(left, right)
+                floor = known_floors(sums, ids, floor)
+                # Frequent tokens that vectors met in no usual one need to reach the floor.
+                reverse = np.append(np.cumsum((weights**2)[::-1])[::-1], 0.0)
+                after = reverse[np.searchsorted(number, np.arange(rows), side="right")]
+                head = np.sqrt(np.maximum(reverse[:-1] - after[number], 0.0) + 1e-11)
+                more = ~early & (head * index.longest >= floor[number] - error)
+                begin = first.astype(np.int64)
+                np.maximum.at(begin, number[more], place[more] + 1)
+            else:
+                # Rows where what is left may lift some sum to the floor.
+                begin = np.maximum(first, usual)
+                more = ~early & (place < begin[number])
+                if more.any():
+                    still = np.zeros(rows, bool)
+                    for keys in sums.reaching(floor - rest(first) * index.longest_but_rare - error):
+                        still[keys // width] = True
+                    if not still.any():
+                        sums.close()
+                        continue
+                    more &= still[number]
+                    floor = np.where(still, floor, np.inf)
+            sums.add(number[more], at[more], weights[more])
+            left = rest(begin)
+            found = []
+            for keys in sums.reaching(floor - left * index.longest - error):
+                row = keys // width
+                places = keys - row * width
+                open_ = sums.held.take(keys) + left[row] * index.lengths[places] >= floor[row] - error
+                if best:
+                    open_ &= ids[row] != index.ids[places]
+                elif part["own"][low]:
+                    open_ &= ids[row] < index.ids[places]
+                found.append(keys[open_])
+            keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            if len(keys):
+                late = place >= begin[number]
+                scores = sums.with_rest(keys, number[late], at[late], weights[late])
+                row = keys // width
+                reached = scores >= floor[row]
+                if reached.any():
+                    yield low, row[reached], (keys - row * width)[reached], scores[reached]
+            sums.close()
+
+    def known_floors(sums: Sums, ids: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        """Floors with those of rows that had none yet: no score is below its sum so far."""
+        unknown = np.flatnonzero(floor < 10.0**-digits)
+        if not len(unknown):
+            return floor
+        # A row is not among its own others.
+        all_ids, own = sums.index.ids, ids[unknown]
+        places = best + np.searchsorted(all_ids, own, side="right") - np.searchsorted(all_ids, own)
+        floor = floor.copy()
+        floor[unknown] = np.maximum(floor[unknown], sums.kth(unknown, places) - 10.0**-digits)
+        return floor
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cells of an index, which comes first, and rows that go through it."""
+        index, held, buffers = None, [], [np.zeros(0), None]
+        for part in pieces(batches):
+            if part["side"][0] == 0:
+                if index is not None or (held and held[0]["cell"][0] != part["cell"][0]):
+                    index, held = None, []
+                held.append(part)
+                continue
+            if held and held[0]["cell"][0] == part["cell"][0]:
+                index, held, cell = indexed(held), [], part["cell"][0]
+            if index is None or cell != part["cell"][0]:
+                continue
+            for low, row, place, scores in score(index, part, buffers):
+                left, right = part["vector_id"][low + row], index.ids[place]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(left), pa.array(right), pa.array(sums[row, place])],
+                    [pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right)), pa.array(scores)],
                     ["vector_id", "other_vector", "part"],
                 )
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held, index = None, [], None
+    class Best:
+        """Rows of a cell with the best others found so far, highest first, equal ones by id."""
+
+        def __init__(self, part: dict[str, np.ndarray]):
+            self.part = part
+            rows = len(part["vector_id"])
+            self.others = np.zeros((rows, best), np.int64)
+            self.scores = np.full((rows, best), -1.0)
+
+        def meet(self, index: Index, buffers: list[np.ndarray]) -> None:
+            unit = 10.0**digits
+            for low, row, place, scores in score(index, self.part, buffers):
+                row = low + row
+                touched = np.unique(row)
+                rows = np.concatenate([np.repeat(touched, best), row])
+                others = np.concatenate([self.others[touched].ravel(), index.ids[place]])
+                scores = np.concatenate([self.scores[touched].ravel(), scores])
+                rounded = np.floor(scores * unit + 0.5)
+                order = np.lexsort((others, -rounded, rows))
+                rows = rows[order]
+                rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                order, rows, rank = order[rank < best], rows[rank < best], rank[rank < best]
+                self.others[rows, rank], self.scores[rows, rank] = others[order], scores[order]
+                # The last one held is a floor; equal scores may still come.
+                floor = (np.floor(self.scores[touched, best - 1] * unit + 0.5) - 1) / unit
+                self.part["floor"][touched] = np.maximum(self.part["floor"][touched], floor)
+
+        def batch(self) -> pa.RecordBatch:
+            row, rank = np.nonzero(self.scores > 0)
+            found = self.part["vector_id"][row], self.others[row, rank], self.scores[row, rank]
+            return pa.RecordBatch.from_arrays([*map(pa.array, found)], ["vector_id", "other_vector", "part"])
+
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cells of rows, which come first, and vectors they meet an index after the other."""
+        cell, rows, held, buffers = None, [], [], [np.zeros(0), None]
+
+        def meet() -> None:
+            if held:
+                index = indexed(held)
+                for some in rows:
+                    some.meet(index, buffers)
+
+        for part in pieces(batches):
+            if part["cell"][0] != cell:
+                meet()
+                yield from (some.batch() for some in rows)
+                cell, rows, held = part["cell"][0], [], []
+            if part["side"][0] == 0:
+                rows.append(Best(part))
+                continue
+            if held and (
+                sum(len(p["tokens"]) for p in held) + len(part["tokens"]) > most_entries
+                or sum(len(p["sizes"]) for p in held) + len(part["sizes"]) > most_rows
+            ):
+                meet()
+                held = []
+            held.append(part)
+        meet()
+        yield from (some.batch() for some in rows)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        """Batches cut where the cell or the side changes."""
         for batch in batches:
             key = batch.column(batch.schema.get_field_index("cell")).to_numpy().astype(np.int64) * 2
             key += batch.column(batch.schema.get_field_index("side")).to_numpy()
             bounds = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
             for start, stop in zip(bounds, bounds[1:], strict=False):
-                if start == stop:
-                    continue
-                part = parts_of(batch.slice(start, stop - start))
-                if part["cell"][0] != cell:
-                    cell, held, index = part["cell"][0], [], None
-                if part["side"][0] == 0:
-                    held.append([part[name] for name in ("vector_id", "sizes", "tokens", "weights")])
-                elif held or index is not None:
-                    if index is None:
-                        index, held = Index(*(np.concatenate(x) for x in zip(*held, strict=True))), []
-                    yield from score(index, part)
-
-    return scored
+                if start < stop:
+                    yield parts_of(batch.slice(start, stop - start))
+
+    return ranked if best else scored
 
 
 def similar_vectors(

@@ -7,7 +7,10 @@ import math
 import os
 import random
 import re
+import time
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from affinia.operators import pairs
@@ -96,3 +99,54 @@ def test_a_vector_is_sent_no_more_often_than_cores_and_memory_ask_for(spark, mon
     text = pairs.score_in_blocks(vectors, 0.5, 4096)._jdf.queryExecution().analyzed().toString()
     blocks = int(re.search(r"xxhash64\(vector_id#\d+L?, 42\), cast\((\d+) as bigint", text).group(1))
     assert blocks <= math.ceil((4 * cores) ** 0.5)
+
+
+def test_sums_that_are_not_met_cost_nothing():
+    """5,000 rows and 200,000 vectors of an index that meet once a row, not 10^9 times."""
+    rows, width = 5_000, 200_000
+
+    def side(number: int, count: int, first_id: int) -> list[pa.RecordBatch]:
+        made = {
+            "cell": pa.array(np.ones(count, np.int32)), "side": pa.array(np.full(count, number, np.int32)),
+            "own": pa.array(np.zeros(count, bool)), "vector_id": pa.array(np.arange(count) + first_id),
+            "floor": pa.array(np.full(count, 0.9)), "tokens": pa.array([[i] for i in range(count)], pa.list_(pa.int64())),
+            "weights": pa.array([[1.0]] * count, pa.list_(pa.float64())),
+        }
+        made |= {name: pa.array(np.ones(count, np.int32)) for name in ("first", "rare", "usual")}
+        return [pa.RecordBatch.from_pydict(made)]
+
+    score = pairs.multiplying(None, 6, pairs.SUMS, pairs.CELL_ROWS, pairs.CELL_ENTRIES)
+    batches = side(0, width, 10**6) + side(1, rows, 0)
+    begun = time.process_time()
+    found = sum(batch.num_rows for batch in score(iter(batches)))
+    assert found == rows
+    assert time.process_time() - begun < rows * width * 4e-9
+
+
+def test_frequent_tokens_are_added_pair_by_pair(spark, monkeypatch):
+    """Lists that are too long to be gone over still count in every score."""
+    draw = random.Random(11)
+    rows = [
+        (i, None, draw.sample(["G1", "G2", "G3", "G4", "G5"], 3), None, draw.sample([f"P{n}" for n in range(25)], 3))
+        for i in range(90)
+    ]
+    vectors = build_vectors(spark.createDataFrame(rows, SCHEMA))
+    truth = scores_of(vectors)
+    monkeypatch.setattr(pairs, "CELL_ROWS", 40)
+    for listed, sums in ((4, 1 << 21), (12, 1 << 21), (12, 100)):
+        monkeypatch.setattr(pairs, "FREQUENT_ROWS", listed)
+        monkeypatch.setattr(pairs, "SUMS", sums)
+        found = {(r.item_id, r.other_id): r.similarity for r in build_index(vectors, 0.4).edges().collect()}
+        assert {k: round(s, 7) for k, s in found.items()} == {k: round(s, 7) for k, s in truth.items() if s >= 0.4}
+        ranked = {(r.item_id, r.position): r.similarity for r in best_neighbours(vectors, 4, frequent_rows=listed).collect()}
+        for (item, position), score in ranked.items():
+            scores = sorted((-s for pair, s in truth.items() if item in pair and s > 0))
+            assert round(-scores[position - 1], 7) == round(score, 7)
+        assert len(ranked) == 4 * len(rows)
+
+
+def test_only_the_best_of_all_blocks_leave_a_task(spark, monkeypatch):
+    vectors = build_vectors(spark.createDataFrame(rows_of(5, 70), SCHEMA))
+    monkeypatch.setattr(pairs, "CELL_ROWS", 20)
+    left = pairs.score_in_blocks(vectors, 1e-9, 4096, best=3).groupBy("vector_id").count()
+    assert left.where("count > 3").isEmpty()
